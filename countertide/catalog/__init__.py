@@ -1,15 +1,15 @@
 """All registered queries."""
 
 from countertide.catalog import (  # noqa: F401
-
+    feature_tables,
     histories,
-
-
-
+    ingestion,
+    mining,
+    models,
     scalars,
     selections,
-
-
+    statistics,
+    streams,
 )
 from countertide.catalog.registry import REGISTRY, Query
 

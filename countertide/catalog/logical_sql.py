@@ -81,7 +81,7 @@ PAIRS = """pairs AS (
   WHERE e.end_time > e.start_time + INTERVAL 2 HOUR)"""
 
 BASKETS = """baskets AS (
-  SELECT video_id, list_distinct(items) AS items
+  SELECT video_id, list_sort(list_distinct(items)) AS items
   FROM (SELECT video_id, list_filter(list_transform(string_split(tags, ','), lambda t: lower(trim(t))),
                                      lambda t: t <> '') AS items FROM videos)
   WHERE len(items) >= 2)"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -61,9 +60,8 @@ def _complete(sql: str, doubles: list[str]) -> str:
         # Adding zero turns a negative zero into a positive one, which is what Spark's round gives.
         rounded = ", ".join(f"round({c}, {DIGITS}) + 0.0 AS {c}" for c in doubles)
         body = f"SELECT * REPLACE ({rounded}) FROM (\n{body}\n)"
+    elif body.startswith("WITH"):
+        body = f"SELECT * FROM (\n{body}\n)"
     needed = logical_sql.needed_by(body)
     return f"WITH {needed}\n{body}" if needed else body
 
-
-def words_in(sql: str) -> set[str]:
-    return set(re.findall(r"[a-z_]+", sql.lower()))

@@ -222,12 +222,14 @@ def _(t):
 
 @query(
     "safe_log_clip",
-    "SELECT video_id, time, exp(least(greatest((views - 500) / 100.0e0, 0), 25)) - 1 AS real_space FROM stats",
-    doubles="real_space",
+    "SELECT video_id, time, exp(least(greatest((views - 500) / 100.0e0, 0), 25)) / 1e6 - 1e-6 AS real_millions FROM stats",
+    doubles="real_millions",
 )
 def _(t):
     return t.stats().select(
-        "video_id", "time", numeric.from_bounded_log((F.col("views") - 500) / F.lit(100.0)).alias("real_space")
+        "video_id",
+        "time",
+        (numeric.from_bounded_log((F.col("views") - 500) / F.lit(100.0)) / 1e6).alias("real_millions"),
     )
 
 

@@ -197,11 +197,12 @@ def _(t):
 
 @query(
     "intent_union",
-    """SELECT video_id, query, 'search' AS type, CAST(NULL AS INTEGER) AS rank FROM discovery
-UNION ALL SELECT video_id, NULL, 'trending', rank FROM trending""",
+    """SELECT video_id, query, 'search' AS type, NULL AS rank FROM discovery
+UNION ALL SELECT video_id, NULL, 'trending', CAST(rank AS VARCHAR) FROM trending""",
 )
 def _(t):
-    return ingest.union_intents(*_intents(t))
+    # As text, because a nullable integer has no common form in the two engines' frames.
+    return ingest.union_intents(*_intents(t)).withColumn("rank", F.col("rank").cast("string"))
 
 
 def _intents(t):

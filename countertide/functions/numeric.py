@@ -62,12 +62,13 @@ def _one_decimal(c: Column) -> Column:
     """
     unit = F.lit(1 << 52)
     tenfold = ((c - F.floor(c)) * F.lit(float(1 << 52))).cast("bigint") * 10
-    tenths = F.floor(tenfold / unit).cast("bigint")
     rest = tenfold % unit
+    tenths = ((tenfold - rest) / unit).cast("bigint")
     half = F.lit(1 << 51)
     up = ((rest > half) | ((rest == half) & (tenths % 2 == 1))).cast("bigint")
     all_tenths = F.floor(c).cast("bigint") * 10 + tenths + up
-    return F.concat((F.floor(all_tenths / F.lit(10))).cast("string"), F.lit("."), (all_tenths % 10).cast("string"))
+    last = all_tenths % 10
+    return F.concat(((all_tenths - last) / 10).cast("bigint").cast("string"), F.lit("."), last.cast("string"))
 
 
 def display_number(c: Column) -> Column:
@@ -77,3 +78,13 @@ def display_number(c: Column) -> Column:
         .when(c >= 1_000, F.concat(_one_decimal(c / F.lit(1_000.0)), F.lit("K")))
         .otherwise(c.cast("bigint").cast("string"))
     )
+
+
+def pearson(a: str, b: str) -> Column:
+    """Aggregate: Pearson correlation over the rows where both are present; null when one is constant.
+
+    The built-in ``corr`` raises a division error on constants when ANSI mode is on.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countertide.functions import numeric
+
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -33,15 +35,15 @@ def integrity_report(
     Tables below ``min_rows`` are not judged: every check passes.
     """
     cols = df.columns
-    numeric = [c for c, kind in df.dtypes if kind in _NUMERIC]
+    numbers = [c for c, kind in df.dtypes if kind in _NUMERIC]
     features = [c for c in cols if c != label]
-    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
+    pairs = [(a, b) for i, a in enumerate(numbers) for b in numbers[i + 1 :]]
 
     wide = df.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count(c).alias(f"count_{c}") for c in cols],
         *[(F.min(c) == F.max(c)).alias(f"constant_{c}") for c in cols],
-        *[F.corr(a, b).alias(f"corr_{a}_{b}") for a, b in pairs],
+        *[numeric.pearson(a, b).alias(f"corr_{a}_{b}") for a, b in pairs],
     )
     distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
     copies = distinct.agg(F.sum(F.col("_copies") - 1).alias("duplicates"))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countertide.functions.numeric import pearson
 from countertide.plans.ordered import range_slices, running_totals_of_slices
 
 # When a difference counts as drift, and the terms of the asymptotic series.
@@ -99,7 +100,7 @@ def paired_histogram(rows: DataFrame, bins: int = 20) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair as (a, b, corr), each pair over its complete rows, in one pass."""
     n = len(cols)
-    upper = {(i, j): F.corr(cols[i], cols[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)}
+    upper = {(i, j): pearson(cols[i], cols[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)}
     one = df.agg(*upper.values())
     cells = [
         F.struct(

@@ -31,7 +31,8 @@ STATS = T.StructType(
     ]
 )
 
-RAW_ITEM = T.StructType.fromDDL(
+# Nested schemas in the textual form that readers accept.
+RAW_ITEM = (
     "id string,"
     "statistics struct<viewCount: string, likeCount: string, commentCount: string>,"
     "snippet struct<title: string, description: string, tags: array<string>, publishedAt: string,"
@@ -41,5 +42,5 @@ RAW_ITEM = T.StructType.fromDDL(
     "status struct<madeForKids: boolean>"
 )
 
-SEARCH_PAGE = T.StructType.fromDDL("query string, items array<struct<id: struct<videoId: string>>>")
-TRENDING_PAGE = T.StructType.fromDDL("items array<struct<id: string>>")
+SEARCH_PAGE = "query string, items array<struct<id: struct<videoId: string>>>"
+TRENDING_PAGE = "items array<struct<id: string>>"
