@@ -182,6 +182,12 @@ def _(t):
     return features.heuristic_truth(pairs.metadata_with_latest(t.videos(), t.stats())).select("video_id", "genre_truth")
 
 
+def live_rows(t):
+    """Snapshots with title signals, which are taken once per item before the join."""
+    titled = features.add_title_features(t.videos().select("video_id", "title", "duration_seconds"), uppercase=UPPERCASE)
+    return t.stats().join(titled.drop("title"), "video_id")
+
+
 _SNAP_DATE = DATE_SQL.format(d="time")
 
 
@@ -204,9 +210,7 @@ FROM (SELECT *, {_TITLE}, {_SNAP_DATE} FROM stats JOIN videos USING (video_id))"
     "viral_log_start_views viral_like_ratio viral_comment_ratio viral_initial_virality_slope",
 )
 def _(t):
-    from countertide.operators.select import stats_with_metadata
-
-    return features.evaluation_features(stats_with_metadata(t.stats(), t.videos()), uppercase=UPPERCASE)
+    return features.evaluation_features(live_rows(t))
 
 
 @query(

@@ -76,5 +76,5 @@ SELECT doc_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY
     doubles="weight",
 )
 def _(t):
-    cleaned = t.given("documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    cleaned = t.texts().select("doc_id", clean_text(F.col("text")).alias("text"))
     return vectors.tfidf(cleaned, key="doc_id")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from countertide.catalog.feature_tables import anomaly_rows, bait_rows, viral_rows
+from countertide.catalog.feature_tables import anomaly_rows, bait_rows, live_rows, viral_rows
 from countertide.catalog.registry import query
 from countertide.catalog.scalars import UPPERCASE
 from countertide.functions.text import tag_list
 from countertide.operators import features, forest, gates, metrics, models, pairs, stats, vectors
-from countertide.operators.select import min_baseline, stats_with_metadata
+from countertide.operators.select import min_baseline
 
 _fitted: dict[tuple[str, str, str], object] = {}
 
@@ -65,8 +65,7 @@ def _(t):
 @query("score_live_velocity")
 def _(t):
     # Live evaluation: every snapshot under the assumed age and start views.
-    rows = features.evaluation_features(stats_with_metadata(t.stats(), t.videos()), uppercase=UPPERCASE)
-    return models.score_velocity(_velocity(t), rows)
+    return models.score_velocity(_velocity(t), features.evaluation_features(live_rows(t)))
 
 
 @query("velocity_residuals")

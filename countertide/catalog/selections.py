@@ -95,9 +95,8 @@ def _(t):
     from countertide.plans.ordered import exact_quantile
 
     values = t.videos().select("duration_seconds")
-    return exact_quantile(values, "duration_seconds", 0.8, "p80").crossJoin(
-        exact_quantile(values, "duration_seconds", 0.9, "p90")
-    )
+    p90 = exact_quantile(values, "duration_seconds", 0.9).scalar()
+    return exact_quantile(values, "duration_seconds", 0.8, "p80").withColumn("p90", p90)
 
 
 @query(
@@ -262,7 +261,7 @@ FROM (SELECT doc_id, term, count(*) AS tf
 GROUP BY term ORDER BY total DESC, term LIMIT 5000""",
 )
 def _(t):
-    cleaned = t.given("documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    cleaned = t.texts().select("doc_id", clean_text(F.col("text")).alias("text"))
     return vectors.top_terms(vectors.term_counts(cleaned, key="doc_id"))
 
 

@@ -80,11 +80,10 @@ def display_number(c: Column) -> Column:
     )
 
 
-def pearson(a: str, b: str) -> Column:
-    """Aggregate: Pearson correlation over the rows where both are present; null when one is constant.
+def pearson(x: str | Column, y: str | Column) -> Column:
+    """Aggregate: Pearson correlation of rows where both are present; null when one is constant.
 
-    The built-in ``corr`` raises a division error on constants when ANSI mode is on.
+    The built-in ``corr`` raises a division error on constants when ANSI mode is on. Rows where
+    only one side is null must be filtered or nulled by the caller.
     """
-    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

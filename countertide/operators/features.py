@@ -174,15 +174,10 @@ def viral_features(
     rows = freeze(rows, "viral")  # read twice: for the threshold and for the labels
     if rows.isEmpty():
         raise ValueError("no item has two snapshots far enough apart")
-    threshold = exact_quantile(rows, "view_velocity", quantile)
-    value, bound = F.col("view_velocity"), F.col("threshold")
+    value, bound = F.col("view_velocity"), exact_quantile(rows, "view_velocity", quantile).scalar()
     if digits is not None:
         value, bound = F.round(value, digits), F.round(bound, digits)
-    return (
-        rows.crossJoin(F.broadcast(threshold))
-        .withColumn("is_viral", (value >= bound).cast("int"))
-        .drop("threshold")
-    )
+    return rows.withColumn("is_viral", (value >= bound).cast("int"))
 
 
 def viral_training_matrix(features: DataFrame, keep: Sequence[str] = ("video_id",)) -> DataFrame:
@@ -261,7 +256,8 @@ def evaluation_features(df: DataFrame, time: str = "time", uppercase: str = text
     """Inputs of the velocity and viral models for single snapshots, under assumed age and start views.
 
     Hour and weekday are those of the snapshot. Columns of the viral model that differ from the
-    velocity model carry the prefix ``viral_``.
+    velocity model carry the prefix ``viral_``. Title signals that ``df`` already carries are used
+    as they are: a title is then read once per item instead of once per snapshot.
     """
     d = coerce_defaults(df)
     views, likes, comments = F.col("views"), F.col("likes"), F.col("comments")
@@ -269,7 +265,8 @@ def evaluation_features(df: DataFrame, time: str = "time", uppercase: str = text
     seen = views > 0
     start_log = F.log1p(F.greatest(views * ASSUMED_START_SHARE, F.lit(0.0)))
     when = calendar.date_features(F.col(time))
-    title = text.title_features(F.col("title"), uppercase)
+    signals = ("title_len", "caps_ratio", "exclamation_count", "question_count", "has_digits")
+    title = {c: F.col(c) for c in signals} if _has(d, *signals) else text.title_features(F.col("title"), uppercase)
     density = F.when(seen, numeric.interaction_density(views, likes, comments)).otherwise(0.0)
     return d.select(
         "video_id",
@@ -282,7 +279,7 @@ def evaluation_features(df: DataFrame, time: str = "time", uppercase: str = text
         (comments / (views + 1)).alias("comment_view_ratio"),
         age.alias("video_age_hours"),
         *[when[c].alias(c) for c in ("hour_sin", "hour_cos", "publish_day", "is_weekend")],
-        *[title[c].alias(c) for c in ("title_len", "caps_ratio", "exclamation_count", "question_count", "has_digits")],
+        *[title[c].alias(c) for c in signals],
         F.lit(-1).alias("category_id"),
         (views / age).alias("viral_view_velocity"),
         (likes / age).alias("viral_like_velocity"),

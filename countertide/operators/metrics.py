@@ -79,34 +79,28 @@ def evaluate_classification(
     return _summary(labels, by, wanted, F.lit(task == "binary"))
 
 
-def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = (), prefix: str = "") -> DataFrame:
-    """mae, rmse, r2 and mape in percent (a true 0 divides by 1), in one aggregation."""
-    true, guess = F.col(y).cast("double"), F.col(p).cast("double")
-    miss = true - guess
+def _regression(y: Column, p: Column, prefix: str = "") -> list[Column]:
+    miss = y - p
     rest = F.sum(miss * miss)
-    spread = F.var_pop(true) * F.count(true)
-    r2 = F.when(spread > 0, 1 - rest / spread).when(rest == 0, 1.0).otherwise(0.0)
-    return df.groupBy(*by).agg(
+    spread = F.var_pop(y) * F.count(y)
+    r2 = F.when(spread > 0, 1 - rest / F.when(spread > 0, spread)).when(rest == 0, 1.0).otherwise(0.0)
+    return [
         F.avg(F.abs(miss)).alias(f"{prefix}mae"),
         F.sqrt(F.avg(miss * miss)).alias(f"{prefix}rmse"),
         r2.alias(f"{prefix}r2"),
-        (F.avg(F.abs(miss / F.when(true == 0, 1.0).otherwise(true))) * 100).alias(f"{prefix}mape_percent"),
-    )
+        (F.avg(F.abs(miss / F.when(y == 0, 1.0).otherwise(y))) * 100).alias(f"{prefix}mape_percent"),
+    ]
+
+
+def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """mae, rmse, r2 and mape in percent (a true 0 divides by 1), in one aggregation."""
+    return df.groupBy(*by).agg(*_regression(F.col(y).cast("double"), F.col(p).cast("double")))
 
 
 def log_and_real_metrics(df: DataFrame, y: str, log_prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Regression metrics in real space and, with the prefix ``log_``, in log space of bounded predictions."""
-    bounded = numeric.bounded_log(F.col(log_prediction))
-    both = df.select(
-        *by,
-        F.col(y).cast("double").alias("_y"),
-        F.log1p(F.col(y).cast("double")).alias("_ly"),
-        bounded.alias("_lp"),
-        F.expm1(bounded).alias("_p"),
-    )
-    real = regression_metrics(both, "_y", "_p", by)
-    logs = regression_metrics(both, "_ly", "_lp", by, prefix="log_")
-    return real.join(logs, list(by)) if by else real.crossJoin(logs)
+    true, bounded = F.col(y).cast("double"), numeric.bounded_log(F.col(log_prediction))
+    return df.groupBy(*by).agg(*_regression(true, F.expm1(bounded)), *_regression(F.log1p(true), bounded, "log_"))
 
 
 def masked_mape(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -72,13 +72,29 @@ def assembled(df: DataFrame, names: Sequence[str], out: str = "features") -> Dat
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Weight of each row: rows / (classes * rows of its class). The class table is one row per class."""
     per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    overall = per_class.agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
-    weights = per_class.crossJoin(F.broadcast(overall)).select(
-        label, (F.col("_all") / (F.col("_k") * F.col("_n"))).alias(out)
-    )
+    share = per_class.agg(F.sum("_n") / F.count(F.lit(1))).scalar()
+    weights = per_class.select(label, (share / F.col("_n")).alias(out))
     return df.join(F.broadcast(weights), label)
 
 
+def with_folds(df: DataFrame, key: Sequence[str], folds: int, out: str = "_fold") -> DataFrame:
+    """A fold number per row from a hash of its key, the same on every run and after lost executors."""
+    return df.withColumn(out, F.pmod(F.xxhash64(F.lit("fold"), *key), F.lit(folds)).cast("int"))
+
+
+class PositiveF1(Evaluator):
+    """f1 of class 1 in one aggregation; 0 when a fold has no such rows, where Spark's own evaluator fails."""
+
+    def __init__(self, label: str = "_label", prediction: str = "prediction"):
+        super().__init__()
+        self.label, self.prediction = label, prediction
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        true, guess = F.col(self.label) == 1.0, F.col(self.prediction) == 1.0
+        both = dataset.agg(2.0 * F.count_if(true & guess), F.count_if(true) + F.count_if(guess)).first()
+        return both[0] / both[1] if both[1] else 0.0
+
+
 @dataclass
 class Trained:
     """A fitted model, the inputs it expects, and its rows with split and prediction."""
@@ -170,18 +186,16 @@ def train_clickbait(
     """
     names = tuple(c for c in feats.CLICKBAIT_FEATURES if c in features.columns)
     marked = freeze(split(features, key=names), "clickbait")
-    balance = metrics.class_balance(train_part(marked), label).select("scale_pos_weight")
-    weighted = marked.crossJoin(F.broadcast(balance)).withColumn(
-        "weight", F.when(F.col(label) == 1, F.col("scale_pos_weight")).otherwise(1.0)
-    )
+    balance = metrics.class_balance(train_part(marked), label).select("scale_pos_weight").scalar()
+    weighted = marked.withColumn("weight", F.when(F.col(label) == 1, balance).otherwise(1.0))
     ready = assembled(weighted, names).withColumn("_label", F.col(label).cast("double")).cache()
     booster = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="weight", seed=42)
     grid = [{booster.getParam(k): v for k, v in g.items()} for g in sampled_grid(space, n_settings)]
-    f1 = MulticlassClassificationEvaluator(labelCol="_label", metricName="fMeasureByLabel", metricLabel=1.0)
     search = CrossValidator(
-        estimator=booster, estimatorParamMaps=grid, evaluator=f1, numFolds=folds, seed=42, parallelism=parallelism
-    )
-    best = search.fit(train_part(ready)).bestModel
+        estimator=booster, estimatorParamMaps=grid, evaluator=PositiveF1(), numFolds=folds, foldCol="_fold",
+        parallelism=parallelism,
+    )
+    best = search.fit(with_folds(train_part(ready), names, folds)).bestModel
     ready.unpersist()
     scored = best.transform(ready)
     result = metrics.classification_metrics(scored, label, "prediction", by=["split"])
@@ -241,10 +255,10 @@ def train_viral(
         featuresCol="features", labelCol="_label", weightCol="weight", maxIter=max_iter, standardization=False
     )
     grid = [{plain.regParam: 1.0 / (c * rows * (folds - 1) / folds)} for c in inverse_strength]
-    f1 = MulticlassClassificationEvaluator(labelCol="_label", metricName="fMeasureByLabel", metricLabel=1.0)
     search = CrossValidator(
-        estimator=plain, estimatorParamMaps=grid, evaluator=f1, numFolds=folds, seed=42, parallelism=parallelism
-    ).fit(train)
+        estimator=plain, estimatorParamMaps=grid, evaluator=PositiveF1(), numFolds=folds, foldCol="_fold",
+        parallelism=parallelism,
+    ).fit(with_folds(train, ["video_id"], folds))
     best_c = inverse_strength[int(np.argmax(search.avgMetrics))]
     model = plain.copy({plain.regParam: 1.0 / (best_c * rows)}).fit(train)
     train.unpersist()

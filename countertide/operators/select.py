@@ -123,9 +123,8 @@ def min_baseline(pairs: DataFrame, min_views: int = 10) -> DataFrame:
 
 def top_percentile(df: DataFrame, col: str, p: float = 0.90, digits: int | None = None) -> DataFrame:
     """Rows at or above the exact ``p`` quantile of ``col`` (interpolated, inclusive)."""
-    threshold = exact_quantile(df, col, p)
-    bound = F.col("threshold") if digits is None else F.round("threshold", digits)
-    return df.crossJoin(F.broadcast(threshold)).filter(F.col(col) >= bound).drop("threshold")
+    threshold = exact_quantile(df, col, p).scalar()
+    return df.filter(F.col(col) >= (threshold if digits is None else F.round(threshold, digits)))
 
 
 def complete_rows(df: DataFrame, cols: Sequence[str] = ("title", "tags")) -> DataFrame:

@@ -35,11 +35,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Counts in ``bins`` equal bins between the extremes, empty bins included."""
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    counts = (
-        values.crossJoin(F.broadcast(ends))
-        .groupBy(_bin_of(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    placed = values.select(_bin_of(F.col("v"), low, high, bins).alias("bin"))
+    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     edges = ends.select("low", ((F.col("high") - F.col("low")) / bins).alias("width")).select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "width"
     )
@@ -98,18 +96,25 @@ def paired_histogram(rows: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair as (a, b, corr), each pair over its complete rows, in one pass."""
-    n = len(cols)
-    upper = {(i, j): pearson(cols[i], cols[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)}
-    one = df.agg(*upper.values())
+    """Pearson correlation of every pair as (a, b, corr), each pair over its complete rows, in one scan."""
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     cells = [
-        F.struct(
-            F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c_{min(i, j)}_{max(i, j)}").alias("corr")
-        )
-        for i in range(n)
-        for j in range(n)
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y"))
+        for i, a in enumerate(cols)
+        for b in cols[i:]
     ]
-    return one.select(F.inline(F.array(*cells)))
+    # One short aggregation over (pair, x, y) rows instead of a hundred buffers in a single row,
+    # which is more than generated code can hold; the pair rows never leave the task.
+    upper = (
+        numbers.select(F.inline(F.array(*cells)))
+        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+        .groupBy("a", "b")
+        .agg(pearson("x", "y").alias("corr"))
+    )
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "corr"))).otherwise(
+        F.array(F.struct("a", "b", "corr"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+    )
+    return upper.select(F.inline(both))
 
 
 def with_log_columns(df: DataFrame, cols: Sequence[str] = DRIFT_FEATURES) -> DataFrame:

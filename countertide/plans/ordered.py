@@ -140,11 +140,11 @@ def exact_quantile(df: DataFrame, value: str, q: float, out: str = "threshold")
     )
     cut = range_slices(counts, ["v"])
     ranked = running_totals_of_slices(cut, [], ["v"], ["n"])
-    total = cut.agg(F.sum("n").alias("total"))
-    rank = F.lit(float(q)) * (F.col("total") - 1)
-    picked = ranked.crossJoin(F.broadcast(total)).agg(
-        F.min(F.when(F.col("cum_n") > F.floor(rank), F.col("v"))).alias("low"),
-        F.min(F.when(F.col("cum_n") > F.ceil(rank), F.col("v"))).alias("high"),
-        F.max(rank - F.floor(rank)).alias("part"),
+    total = cut.agg(F.sum("n")).scalar()
+    placed = ranked.select("v", "cum_n", (F.lit(float(q)) * (total - 1)).alias("rank"))
+    picked = placed.agg(
+        F.min(F.when(F.col("cum_n") > F.floor("rank"), F.col("v"))).alias("low"),
+        F.min(F.when(F.col("cum_n") > F.ceil("rank"), F.col("v"))).alias("high"),
+        F.max(F.col("rank") - F.floor("rank")).alias("part"),
     )
     return picked.select((F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias(out))

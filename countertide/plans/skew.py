@@ -9,12 +9,8 @@ from pyspark.sql import functions as F
 def hot_keys(fact: DataFrame, key: str, limit: int = 64) -> DataFrame:
     """Keys that hold at least ``1/limit`` of the rows: at most ``limit`` rows by construction."""
     per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = fact.agg(F.count(F.lit(1)).alias("_total"))
-    return (
-        per_key.crossJoin(F.broadcast(total))
-        .filter(F.col("_n") * limit >= F.col("_total"))
-        .select(key, F.lit(True).alias("_hot"))
-    )
+    total = fact.agg(F.count(F.lit(1))).scalar()
+    return per_key.filter(F.col("_n") * limit >= total).select(key, F.lit(True).alias("_hot"))
 
 
 def join_spreading_hot_keys(

@@ -39,6 +39,10 @@ class Tables:
             _stored[key] = freeze(build(), name)
         return _stored[key]
 
+    def texts(self) -> DataFrame:
+        """Whole texts, partitioned by document, for operators that count within documents."""
+        return self.given("documents").select("doc_id", "text").repartition("doc_id")
+
     def events(self) -> DataFrame:
         return self.given("events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -67,7 +71,8 @@ class Tables:
         return self._once("videos", self._build_videos)
 
     def _build_videos(self) -> DataFrame:
-        documents = self.given("documents")
+        # Partitioned by document once: counting, ranking and joining the words stay where they are.
+        documents = self.given("documents").repartition("doc_id")
         words = documents.select("doc_id", F.explode(F.split(clean_text(F.col("text")), " ")).alias("word"))
         counted = (
             words.filter(F.length("word") >= KEYWORD_LENGTH).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
