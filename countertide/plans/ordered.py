@@ -39,18 +39,17 @@ def range_slices(df: DataFrame, order: Sequence[str], slices: int | None = None)
 
 
 def _border_keys(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that can occur in more than one slice: the first and last key of each slice.
+    """Keys that occur in more than one slice.
 
-    At most two rows per slice, so the result may always be broadcast.
+    The rows are in range order, so at most one key crosses the border between two neighbouring
+    slices: the result has fewer rows than there are slices and may always be broadcast.
     """
-    edge = cut.groupBy(SLICE).agg(
-        F.array(F.min(F.struct(*keys)), F.max(F.struct(*keys))).alias("edge")
-    )
-    return edge.select(F.explode("edge").alias("e")).select("e.*").distinct()
+    extent = cut.groupBy(*keys).agg(F.min(SLICE).alias("_low"), F.max(SLICE).alias("_high"))
+    return extent.filter("_low < _high").select(*keys)
 
 
 def carry_in(cut: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Per (border key, slice): the sums over all earlier slices; at most two rows per slice."""
+    """Per (border key, slice): the sums over all earlier slices; at most two rows per slice, so always small."""
     rows = _same(cut, _border_keys(cut, keys), keys, "left_semi") if keys else cut
     per_slice = rows.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(m) for m in measures])
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

@@ -30,16 +30,22 @@ def with_date(df: DataFrame, time: str = "time") -> DataFrame:
     return df.withColumn("date", F.to_date(time))
 
 
-def append_stats(batch: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append snapshots under one folder per date; repeated (video_id, time) pairs in the batch collapse.
+def _by_date(df: DataFrame) -> DataFrame:
+    """Rows gathered per date before a partitioned write.
 
-    Files of a date are spread by a hash of the key so that a busy date is written by many tasks.
+    The rebalance hint lets the adaptive planner split a busy date over many tasks and files and
+    merge quiet dates, instead of every task writing a small file for every date.
     """
+    return with_date(df).hint("rebalance", "date")
+
+
+def append_stats(batch: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append snapshots under one folder per date; repeated (video_id, time) pairs in the batch collapse."""
     unique = batch.dropDuplicates(["video_id", "time"])
-    with_date(unique).write.mode("append").format(fmt).partitionBy("date").save(path)
+    _by_date(unique).write.mode("append").format(fmt).partitionBy("date").save(path)
 
 
 def overwrite_dates(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace only the dates that occur in ``df``, so a repeated run leaves the same table."""
-    writer = with_date(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = _by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.format(fmt).partitionBy("date").save(path)
