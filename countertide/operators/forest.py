@@ -98,10 +98,10 @@ def raw_scores(
     norm = float(expected_path(sample_size)) or 1.0
 
     @F.pandas_udf("double")
-    def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         forest = shared.value
-        for columns in batches:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
             rows = np.arange(len(x))
             length = np.zeros(len(x))
             for tree in forest:
@@ -116,7 +116,7 @@ def raw_scores(
                 length += tree["length"][at]
             yield pd.Series(-np.power(2.0, -length / len(forest) / norm))
 
-    return df.withColumn(out, walk(*[F.col(f).cast("double") for f in features]))
+    return df.withColumn(out, walk(F.struct(*[F.col(f).cast("double").alias(f) for f in features])))
 
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, length double"

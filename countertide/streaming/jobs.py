@@ -82,7 +82,7 @@ def upsert_items(
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table behind a batch-wise sink, with the batch number."""
-    return spark.read.schema(StructType(schema.fields).add(BATCH, "long")).parquet(path)
+    return spark.read.schema(StructType([*schema.fields]).add(BATCH, "long")).parquet(path)
 
 
 def track_endpoints(
