@@ -29,6 +29,7 @@ CLICKBAIT_SEARCH = {"maxIter": (50, 100, 200), "maxDepth": (5, 10, 20), "minInst
 VIRAL_INVERSE_STRENGTH = (0.01, 0.1, 1.0, 10.0)
 SVD_CANDIDATES = (50, 100, 200, 300)
 HIDDEN_LAYERS = (256, 128)
+TOLERANCE = 1e-4  # where logistic regression stops; each further step would be a pass over the rows
 EPOCHS = 20
 
 
@@ -252,8 +253,9 @@ def train_viral(
     train = train.cache()
     rows = train.count()
     plain = LogisticRegression(
-        featuresCol="features", labelCol="_label", weightCol="weight", maxIter=max_iter, standardization=False
-    )
+        featuresCol="features", labelCol="_label", weightCol="weight", maxIter=max_iter, tol=TOLERANCE,
+        standardization=False,
+    )
     grid = [{plain.regParam: 1.0 / (c * rows * (folds - 1) / folds)} for c in inverse_strength]
     search = CrossValidator(
         estimator=plain, estimatorParamMaps=grid, evaluator=PositiveF1(), numFolds=folds, foldCol="_fold",
@@ -327,7 +329,7 @@ def choose_svd_k(
     results = []
     for k in sorted(usable):
         data = _prefix(reduced, "_all_k", min(k, v.shape[1]), "features")
-        proxy = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=200)
+        proxy = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=200, tol=TOLERANCE)
         model = proxy.fit(balanced_weights(train_part(data), label))
         hits = model.transform(test_part(data)).agg(F.avg((F.col(label) == F.col("prediction")).cast("double")))
         results.append((k, hits.first()[0]))
