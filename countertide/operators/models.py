@@ -350,7 +350,7 @@ def train_genre(
     fitted_on = train_part(marked)
     train_vectors, vectorizer = vectors.fit_text_vectors(fitted_on)
     train_vectors = train_vectors.cache()
-    width = len(vectorizer.stages[1].vocabulary)
+    width = len(vectorizer.stages[0].vocabulary)
     tried = choose_svd_k(train_vectors, "label", candidates, key)
     best = tried.orderBy(F.desc("accuracy"), "k").first()
     k = min(best["k"] if best else min(candidates), width)

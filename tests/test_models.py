@@ -117,7 +117,7 @@ def corpus(spark):
 def test_long_and_vector_weights_agree(corpus):
     long = {(r.video_id, r.term): r.weight for r in vectors.tfidf(corpus).collect()}
     weighted, model = vectors.fit_text_vectors(corpus)
-    words = model.stages[1].vocabulary
+    words = model.stages[0].vocabulary
     assert "the" not in words
     got = {}
     for r in weighted.select("video_id", "tfidf").collect():
