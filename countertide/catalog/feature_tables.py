@@ -213,6 +213,24 @@ def _(t):
     return features.evaluation_features(live_rows(t))
 
 
+@query(
+    "request_features",
+    f"""SELECT video_id, ln(1 + views) AS log_start_views, ln(1 + duration_seconds) AS log_duration,
+       ln(1 + views) / ln(1 + greatest(age, 0.1e0)) AS initial_virality_slope,
+       ln(1 + likes + 2 * comments) / ln(2 + views) AS interaction_density,
+       likes / CAST(greatest(views, 1) AS DOUBLE) AS like_view_ratio, comments / CAST(greatest(views, 1) AS DOUBLE) AS comment_view_ratio,
+       age AS video_age_hours, hour_sin, hour_cos, publish_day, is_weekend,
+       title_len, caps_ratio, exclamation_count, question_count, has_digits, -1 AS category_id,
+       views / greatest(age, 0.1e0) AS view_velocity, likes / greatest(age, 0.1e0) AS like_velocity, comments / greatest(age, 0.1e0) AS comment_velocity
+FROM (SELECT *, {_TITLE}, {_DATE}, date_diff('microsecond', published_at, (SELECT max(time) FROM stats)) / 3.6e9 AS age
+      FROM videos JOIN latest USING (video_id))""",
+    doubles="log_start_views log_duration initial_virality_slope interaction_density like_view_ratio comment_view_ratio "
+    "video_age_hours hour_sin hour_cos caps_ratio view_velocity like_velocity comment_velocity",
+)
+def _(t):
+    return features.request_features(pairs.metadata_with_latest(t.videos(), t.stats()), asof(t), uppercase=UPPERCASE)
+
+
 @query(
     "freshness_gate",
     """SELECT video_id, age_hours, age_hours <= 2 AS scorable, CASE WHEN age_hours > 2 THEN 'too_old' END AS reason

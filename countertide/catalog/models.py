@@ -157,6 +157,17 @@ def _(t):
     return models.feature_importance(_viral(t), t.videos())
 
 
+@query("feature_importance_clickbait")
+def _(t):
+    return models.feature_importance(_clickbait(t), t.videos())
+
+
+@query("feature_importance_anomaly")
+def _(t):
+    rows = list(_forest(t).feature_importance().items())
+    return t.spark.createDataFrame(rows, "feature string, importance double")
+
+
 @query("champion_gate_viral")
 def _(t):
     test = models.test_part(_viral(t).metrics).drop("split")

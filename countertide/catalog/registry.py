@@ -15,7 +15,7 @@ from countertide.sources.bindings import Tables
 DIGITS = 6
 
 
-@dataclass
+@dataclass(frozen=True)
 class Query:
     name: str
     build: Callable[[Tables], DataFrame]

@@ -292,6 +292,41 @@ def evaluation_features(df: DataFrame, time: str = "time", uppercase: str = text
     )
 
 
+def request_features(
+    df: DataFrame,
+    asof: dt.datetime | Column,
+    age_floor: float = 0.1,
+    published: str = "published_at",
+    uppercase: str = text.UPPERCASE_CLASS,
+) -> DataFrame:
+    """Inputs of the velocity and viral models for items seen once, at their age as of ``asof``.
+
+    Ratios divide by at least 1 view, rates by an age of at least ``age_floor``; the category is unknown.
+    """
+    views, likes, comments = F.col("views"), F.col("likes"), F.col("comments")
+    age = calendar.hours_between(F.col(published), asof if isinstance(asof, Column) else F.lit(asof))
+    safe_age, safe_views = F.greatest(age, F.lit(float(age_floor))), F.greatest(views, F.lit(1))
+    rich = add_date_features(add_title_features(df, uppercase=uppercase), published)
+    signals = ("hour_sin", "hour_cos", "publish_day", "is_weekend")
+    titles = ("title_len", "caps_ratio", "exclamation_count", "question_count", "has_digits")
+    return rich.select(
+        "video_id",
+        F.log1p(views).alias("log_start_views"),
+        F.log1p("duration_seconds").alias("log_duration"),
+        numeric.virality_slope(views, safe_age).alias("initial_virality_slope"),
+        numeric.interaction_density(views, likes, comments).alias("interaction_density"),
+        (likes / safe_views).alias("like_view_ratio"),
+        (comments / safe_views).alias("comment_view_ratio"),
+        age.alias("video_age_hours"),
+        *signals,
+        *titles,
+        F.lit(-1).alias("category_id"),
+        (views / safe_age).alias("view_velocity"),
+        (likes / safe_age).alias("like_velocity"),
+        (comments / safe_age).alias("comment_velocity"),
+    )
+
+
 def freshness_gate(
     df: DataFrame, asof: dt.datetime | Column, max_age_hours: float = 2.0, published: str = "published_at"
 ) -> DataFrame:

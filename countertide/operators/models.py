@@ -348,7 +348,7 @@ def train_genre(
     labels = StringIndexer(inputCol="genre", outputCol="label", stringOrderType="alphabetAsc").fit(corpus)
     marked = freeze(labels.transform(split(corpus, key)), "genre")
     fitted_on = train_part(marked)
-    train_vectors, vectorizer = vectors.fit_text_vectors(fitted_on)
+    train_vectors, vectorizer = vectors.fit_text_vectors(fitted_on, key=key[0])
     train_vectors = train_vectors.cache()
     width = len(vectorizer.stages[0].vocabulary)
     tried = choose_svd_k(train_vectors, "label", candidates, key)

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own_dirs: dict[str, str] = {}
 
@@ -37,6 +38,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def freeze(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader over the written files."""
+    return read_back(df.sparkSession, write_once(df, label), df.schema)
+
+
+def write_once(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a path of its own and return the path."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)

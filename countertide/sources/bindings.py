@@ -6,12 +6,14 @@ folder, as a collector would have stored them; queries then read columns of stor
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from countertide.functions.text import clean_text
 from countertide.plans.ordered import running_totals
-from countertide.plans.shared import freeze
+from countertide.plans.shared import read_back, write_once
 
 PUBLISH_ORIGIN = "2023-12-31 00:00:00"
 FIRST_SEEN_ORIGIN = "2024-01-20 00:00:00"
@@ -19,7 +21,7 @@ KEYWORDS = 8
 KEYWORD_LENGTH = 4
 CATEGORY_OF_LANGUAGE = {"en": "1", "fr": "2", "de": "3", "es": "4"}
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Tables:
@@ -35,9 +37,14 @@ class Tables:
 
     def _once(self, name: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _stored:
-            _stored[key] = freeze(build(), name)
-        return _stored[key]
+        if key in _stored:
+            try:
+                return read_back(self.spark, *_stored[key])
+            except AnalysisException:  # the shared folder was cleaned in the meantime
+                pass
+        df = build()
+        _stored[key] = (write_once(df, name), df.schema)
+        return read_back(self.spark, *_stored[key])
 
     def texts(self) -> DataFrame:
         """Whole texts, partitioned by document, for operators that count within documents."""
