@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from countertide.catalog.feature_tables import anomaly_rows, bait_rows, live_rows, viral_rows
 from countertide.catalog.registry import query
 from countertide.catalog.scalars import UPPERCASE
@@ -102,7 +104,7 @@ def _(t):
 
 @query("score_genre")
 def _(t):
-    rows = t.videos().select("video_id", "title", tag_list(t.videos()["tags"]).alias("tags"))
+    rows = t.videos().select("video_id", "title", tag_list(F.col("tags")).alias("tags"))
     return models.score_genre(_genre(t), rows)
 
 
