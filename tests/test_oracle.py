@@ -31,3 +31,11 @@ def test_entry_has_rows(spark):
     result = driver.entry(spark)
     assert result.count() > 0
     assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.sql])
+def test_query_without_sql_runs(spark, name):
+    rows = REGISTRY[name](spark, FOLDER).toPandas()
+    assert len(rows.columns) > 0
+    # The smallest tables have too few texts to choose components.
+    assert len(rows) > 0 or name == "choose_svd_k"
