@@ -1,6 +1,6 @@
 """Operators for corpora of training data, and their queries."""
 
-from countertide.llm import host_quality, html_text, sentencepiece_bpe, warc_zstd  # noqa: F401
+from countertide.llm import decontaminate, host_quality, html_text, jaccard_join, private_terms, sentencepiece_bpe, warc_zstd  # noqa: F401
 from countertide.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

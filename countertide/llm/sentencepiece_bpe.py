@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +182,8 @@ class Codec:
     def __init__(self, model: Model):
         self.model, self.letters = model, model.letter_table()
         self.id_text = [str(i) for i in range(len(model.pieces))]
-        self.words: dict[str, tuple[str, bytes]] = {}
+        #: Ids as text, the bytes they decode to, and the ids.
+        self.words: dict[str, tuple[str, bytes, list[int]]] = {}
 
     def split(self, text: str | None) -> list[str]:
         return self.model.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -201,8 +203,8 @@ class Codec:
                     ids.append(piece)
                 else:
                     letter = chr(-1 - s) if s < 0 else self.model.symbols[s]
-                    ids.extend(byte_ids[b] for b in letter.encode())
-            self.words[w] = (" ".join([self.id_text[i] for i in ids]), self.decode_bytes(ids))
+                    ids.extend(int(byte_ids[b]) for b in letter.encode())
+            self.words[w] = (" ".join([self.id_text[i] for i in ids]), self.decode_bytes(ids), ids)
 
     def decode_bytes(self, ids) -> bytes:
         """UTF-8 of pieces, their space marks as spaces; runs of byte pieces that are no UTF-8 give U+FFFD for each byte."""
@@ -224,7 +226,7 @@ class Codec:
         """Ids of each text, the end id last."""
         parts = [self.split(t) for t in texts]
         self.learn(set().union(*parts))
-        return [[int(i) for w in p for i in self.words[w][0].split()] + [self.model.end_id] for p in parts]
+        return [[i for w in p for i in self.words[w][2]] + [self.model.end_id] for p in parts]
 
     def decode(self, ids) -> str:
         text = self.decode_bytes(ids).decode()
@@ -254,9 +256,8 @@ def _each_slice(shared, make, names):
 
 def _digests(codec: Codec, texts: list[str | None]) -> dict:
     parts = [codec.split(t) for t in texts]
-    words, end = codec.words, str(codec.model.end_id)
     codec.learn(set().union(*parts))
-    words = codec.words
+    words, end = codec.words, str(codec.model.end_id)
     counts, ids_sha, text_sha = [], [], []
     for p in parts:
         known = [words[w] for w in p]
@@ -269,8 +270,16 @@ def _digests(codec: Codec, texts: list[str | None]) -> dict:
 
 
 def _whole(codec: Codec, texts: list[str | None]) -> dict:
-    ids = codec.encode(texts)
-    return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array([codec.decode(i) for i in ids], pa.string())}
+    parts = [codec.split(t) for t in texts]
+    codec.learn(set().union(*parts))
+    words, end = codec.words, [codec.model.end_id]
+    ids, texts = [], []
+    for p in parts:
+        known = [words[w] for w in p]
+        ids.append(list(chain.from_iterable(k[2] for k in known)) + end)
+        text = b"".join([k[1] for k in known]).decode()  # a word ends with a letter, so words decode one by one
+        texts.append(text[1:] if text[:1] == " " else text)
+    return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
 
 
 _digests.columns = ("n_tokens", "ids_sha256", "decoded_sha256")
