@@ -37,8 +37,8 @@ from countertide.llm.registry import query
 from countertide.llm.textarrays import Words, mixed
 from countertide.plans.shared import freeze
 
-#: A shingle is *frequent* from this share of all occurrences on: at most 2 ** 20 shingles can be, whatever the corpus.
-FREQUENT = 2.0**-20
+#: A shingle is *frequent* from this share of all occurrences on: at most 2 ** 22 shingles can be, whatever the corpus.
+FREQUENT = 2.0**-22
 COUNTED = 4 << 20  # occurrences that are counted together
 PLANNED = 64  # one shingle in so many tells the length of lists, for the boundary alone
 
@@ -188,8 +188,11 @@ def _verifier(rule: Similarity):
     return verify
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs (a, b) that link. A set travels with its pairs, so each pair moves two sets at most."""
+def _verified(pairs: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (a, b) that link. Sets are made for the documents of these pairs alone and travel with them."""
+    ids = freeze(pairs.select(F.col("a").alias("_id")).unionAll(pairs.select("b")).distinct(), "pair_ids")
+    texts = source.join(sized(ids), "_id", "left_semi").select("_id", "_text")
+    sets = freeze(texts.mapInArrow(_set_writer(rule), "doc_id bigint, shingles binary"), "pair_sets")
     one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     return two.select("a", "b", "set_a", "set_b").mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
@@ -199,6 +202,17 @@ def _compatible(n, m, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _enough(shared, n, m, rule: Similarity, boundary: int):
+    """Whether two sets with ``shared`` keys in common can link.
+
+    Of two heavy sets one prefix ends first in the common order, and what it shares lies in both prefixes; so their
+    overlap is at most ``shared`` plus what follows that prefix. Lists of subsets say no more than that there is one.
+    """
+    overlap = F.ceil((n + m) * rule.percent / (100 + rule.percent))
+    after = F.greatest(F.ceil(n * rule.percent / 100), F.ceil(m * rule.percent / 100)) - 1
+    return (F.least(n, m) <= boundary) | (shared >= overlap - after)
+
+
 def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     spark = docs.sparkSession
@@ -229,17 +243,12 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
     copies = freeze(sized_docs.filter("n > 0").join(classes.filter("copies > 1").select("key", "rep"), "key").filter("doc_id != rep").select("doc_id").distinct(), "copies")
     members = lists.select("token", "doc_id", "n").join(pivots, "token").join(sized(copies), "doc_id", "left_anti")
     members = freeze(members, "members")
-    ids = freeze(members.select("doc_id").distinct(), "member_ids")
-    sets = freeze(
-        source.join(sized(ids.withColumnRenamed("doc_id", "_id")), "_id", "left_semi").select("_id", "_text").mapInArrow(_set_writer(rule), "doc_id bigint, shingles binary"),
-        "member_sets",
-    )
 
-    tried = freeze(
-        members.filter("doc_id != pivot").filter(_compatible(F.col("n"), F.col("n_pivot"), rule.percent)).groupBy(F.col("doc_id").alias("a")).agg(F.min("pivot").alias("b")),
-        "star_pairs",
-    )
-    links = freeze(_verified(tried, sets, rule), "links")
+    near = members.filter("doc_id != pivot").filter(_compatible(F.col("n"), F.col("n_pivot"), rule.percent))
+    near = near.groupBy("doc_id", "n", "pivot", "n_pivot").agg(F.count(F.lit(1)).alias("c"))
+    near = near.filter(_enough(F.col("c"), F.col("n"), F.col("n_pivot"), rule, boundary))
+    tried = freeze(near.groupBy(F.col("doc_id").alias("a")).agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")), "star_pairs")
+    links = freeze(_verified(tried, source, rule), "links")
     rest = members.select("token", "doc_id", "n")
     turn, before = 0, None
     while True:
@@ -255,21 +264,23 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         rest = labelled.select("token", "doc_id", "n")
         last = left[0] <= 8 * left[1] or (before is not None and left[0] > 0.8 * before)
         # Long lists of several components get one more pivot each, until that helps no more.
-        pairs = _cross_pairs(labelled, rule) if last else _pivot_pairs(labelled, rule, turn)
+        pairs = _cross_pairs(labelled, rule, boundary) if last else _pivot_pairs(labelled, rule, turn)
         before = left[0]
         new = freeze(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        links = freeze(links.unionAll(_verified(new, sets, rule)), "links")
+        links = freeze(links.unionAll(_verified(new, source, rule)), "links")
         if last:
             break
     return _assembled(sized_docs, classes, links)
 
 
-def _cross_pairs(labelled: DataFrame, rule: Similarity) -> DataFrame:
-    """All pairs of a list whose components differ and whose sizes allow a link."""
+def _cross_pairs(labelled: DataFrame, rule: Similarity, boundary: int) -> DataFrame:
+    """All pairs that share enough keys, whose components differ and whose sizes allow a link."""
     a = labelled.select("token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     b = labelled.select("token", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    met = a.join(b, "token").filter("a > b AND c_a != c_b").filter(_compatible(F.col("n_a"), F.col("n_b"), rule.percent))
-    return met.select("a", "b").distinct()
+    near = (a["token"] == b["token"]) & (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b"))
+    met = a.join(b, near & _compatible(F.col("n_a"), F.col("n_b"), rule.percent))
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    return counted.filter(_enough(F.col("c"), F.col("n_a"), F.col("n_b"), rule, boundary)).select("a", "b").distinct()
 
 
 def _pivot_pairs(labelled: DataFrame, rule: Similarity, turn: int) -> DataFrame:
