@@ -11,7 +11,7 @@ Equal sets form classes, so copies cost one row each. What remains is an overlap
   list, measured over the corpus.
 
 Keys that only one set holds are dropped by an aggregation that is combined before its shuffle. Each list is scanned from
-one pivot first: its members are verified against the pivot, and links form components. Only pairs of different
+a few central pivots first: its members are verified against these, and links form components. Only pairs of different
 components are verified after that, so a list of thousands of near copies gives thousands of pairs, not millions.
 Verification is exact, on whole sets.
 
@@ -232,44 +232,42 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
     boundary = _boundary(read.filter("kind = 2").select("doc_id"), frequent, rule)
 
     lists = freeze(source.mapInArrow(_lister(shared, rule, boundary), "token bigint, doc_id bigint, n bigint, whole bigint"), "lists")
-    pivots = freeze(
-        lists.groupBy("token")
-        .agg(F.min("whole").alias("w0"), F.max("whole").alias("w1"), F.min(F.struct("doc_id", "n")).alias("p"))
-        .filter("w0 != w1")
-        .select("token", F.col("p.doc_id").alias("pivot"), F.col("p.n").alias("n_pivot")),
-        "pivots",
+    several_sets = freeze(
+        lists.groupBy("token").agg(F.min("whole").alias("w0"), F.max("whole").alias("w1")).filter("w0 != w1").select("token"),
+        "shared_keys",
     )
     # Copies stand in the lists of their class's first document already.
     copies = freeze(sized_docs.filter("n > 0").join(classes.filter("copies > 1").select("key", "rep"), "key").filter("doc_id != rep").select("doc_id").distinct(), "copies")
-    members = lists.select("token", "doc_id", "n").join(pivots, "token").join(sized(copies), "doc_id", "left_anti")
+    members = lists.select("token", "doc_id", "n").join(several_sets, "token").join(sized(copies), "doc_id", "left_anti")
     members = freeze(members, "members")
+    degrees = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
+    members = freeze(members.join(degrees, "doc_id").withColumn("component", F.col("doc_id")), "members")
 
-    near = members.filter("doc_id != pivot").filter(_compatible(F.col("n"), F.col("n_pivot"), rule.percent))
-    near = near.groupBy("doc_id", "n", "pivot", "n_pivot").agg(F.count(F.lit(1)).alias("c"))
-    near = near.filter(_enough(F.col("c"), F.col("n"), F.col("n_pivot"), rule, boundary))
-    tried = freeze(near.groupBy(F.col("doc_id").alias("a")).agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")), "star_pairs")
-    links = freeze(_verified(tried, source, rule), "links")
-    rest = members.select("token", "doc_id", "n")
-    turn, before = 0, None
+    links, tried, before, turn = None, None, None, 0
     while True:
-        turn += 1
-        labels = components(links)
-        labelled = rest.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        per_list = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"))
+        per_list = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+        per_list = per_list.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"))
         open_lists = freeze(per_list.filter("m * m > mm"), "open_lists")
-        left = open_lists.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
-        if left[0] is None:
+        pairs_left, members_left = open_lists.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
+        if pairs_left is None:
             break
-        labelled = freeze(labelled.join(open_lists.select("token"), "token"), f"open_{turn}")
-        rest = labelled.select("token", "doc_id", "n")
-        last = left[0] <= 8 * left[1] or (before is not None and left[0] > 0.8 * before)
-        # Long lists of several components get one more pivot each, until that helps no more.
-        pairs = _cross_pairs(labelled, rule, boundary) if last else _pivot_pairs(labelled, rule, turn)
-        before = left[0]
-        new = freeze(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        links = freeze(links.unionAll(_verified(new, source, rule)), "links")
+        members = members.join(open_lists.select("token"), "token")
+        last = turn > 0 and (pairs_left <= 2 * members_left or pairs_left > 0.7 * before)
+        pairs = _cross_pairs(members, rule, boundary) if last else _pivot_pairs(members, rule, boundary, turn)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = freeze(pairs, "pairs")
+        new = _verified(pairs, source, rule)
+        links = freeze(new if links is None else links.unionAll(new), "links")
         if last:
             break
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        labels = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "_to")
+        members = members.join(labels, "doc_id", "left").withColumn("component", F.coalesce("_to", "doc_id")).drop("_to")
+        members = freeze(members.select("token", "doc_id", "n", "degree", "component"), "members")
+        before, turn = pairs_left, turn + 1
+    if links is None:
+        links = spark.createDataFrame([], "a bigint, b bigint")
     return _assembled(sized_docs, classes, links)
 
 
@@ -283,11 +281,22 @@ def _cross_pairs(labelled: DataFrame, rule: Similarity, boundary: int) -> DataFr
     return counted.filter(_enough(F.col("c"), F.col("n_a"), F.col("n_b"), rule, boundary)).select("a", "b").distinct()
 
 
-def _pivot_pairs(labelled: DataFrame, rule: Similarity, turn: int) -> DataFrame:
-    """Each member of an open list with one pivot, another than before, of another component."""
-    pivot = labelled.groupBy("token").agg(F.min_by(F.struct("doc_id", "n", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("p"))
-    met = labelled.join(pivot, "token").filter("component != p.component").filter(_compatible(F.col("n"), F.col("p.n"), rule.percent))
-    one = met.groupBy("doc_id").agg(F.min("p.doc_id").alias("other"))
+def _pivot_pairs(members: DataFrame, rule: Similarity, boundary: int, turn: int) -> DataFrame:
+    """Each member of a list with a few pivots of other components.
+
+    A list's pivots are its most central members, one of each of three classes by hash: those with most keys that other
+    sets have too, hence with fewest shingles of their own. A member takes the most central pivot of each class.
+    """
+    central = F.struct("degree", (-F.col("doc_id")).alias("minus"), "n", "component")
+    of = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(3))
+    pivots = members.groupBy("token").agg(*[F.max(F.when(of == j, central)).alias(f"p{j}") for j in range(3)])
+    met = members.join(pivots, "token").select(
+        "doc_id", "n", "component", F.posexplode(F.array("p0", "p1", "p2")).alias("j", "p")
+    )
+    met = met.filter("component != p.component").filter(_compatible(F.col("n"), F.col("p.n"), rule.percent))
+    counted = met.groupBy("doc_id", "n", "j", "p").agg(F.count(F.lit(1)).alias("c"))
+    counted = counted.filter(_enough(F.col("c"), F.col("n"), F.col("p.n"), rule, boundary))
+    one = counted.groupBy("doc_id", "j").agg((-F.max_by("p.minus", F.struct("p.degree", "c", "p.minus"))).alias("other"))
     return one.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
 
 
