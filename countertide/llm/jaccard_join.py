@@ -198,8 +198,14 @@ def _verified(pairs: DataFrame, source: DataFrame, rule: Similarity) -> DataFram
     return two.select("a", "b", "set_a", "set_b").mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
 
 
-def _compatible(n, m, percent: int):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def _most(n, degree, rule: Similarity, boundary: int):
+    """Most shingles that a set can share with another one: of a heavy set's prefix only those in lists of several sets."""
+    return F.when(n <= boundary, n).otherwise(F.ceil(n * rule.percent / 100) - 1 + degree)
+
+
+def _compatible(n, most, m, most_m, percent: int):
+    """Whether sizes, and what the sets can share at most, allow a link."""
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(most, most_m) * (100 + percent) >= (n + m) * percent)
 
 
 def _enough(shared, n, m, rule: Similarity, boundary: int):
@@ -240,8 +246,7 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
     copies = freeze(sized_docs.filter("n > 0").join(classes.filter("copies > 1").select("key", "rep"), "key").filter("doc_id != rep").select("doc_id").distinct(), "copies")
     members = lists.select("token", "doc_id", "n").join(several_sets, "token").join(sized(copies), "doc_id", "left_anti")
     members = freeze(members, "members")
-    degrees = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
-    members = freeze(members.join(degrees, "doc_id").withColumn("component", F.col("doc_id")), "members")
+    members = members.withColumn("component", F.col("doc_id"))
 
     links, tried, before, turn = None, None, None, 0
     while True:
@@ -251,7 +256,11 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         pairs_left, members_left = open_lists.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
         if pairs_left is None:
             break
+        # Documents of different components share no closed list, so what they can share shrinks with the open ones.
         members = members.join(open_lists.select("token"), "token")
+        degrees = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
+        members = members.join(degrees, "doc_id").withColumn("most", _most(F.col("n"), F.col("degree"), rule, boundary))
+        members = freeze(members, "open_members")
         last = turn > 0 and (pairs_left <= 2 * members_left or pairs_left > 0.7 * before)
         pairs = _cross_pairs(members, rule, boundary) if last else _pivot_pairs(members, rule, boundary, turn)
         if tried is not None:
@@ -264,21 +273,24 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         tried = pairs if tried is None else tried.unionAll(pairs)
         labels = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "_to")
         members = members.join(labels, "doc_id", "left").withColumn("component", F.coalesce("_to", "doc_id")).drop("_to")
-        members = freeze(members.select("token", "doc_id", "n", "degree", "component"), "members")
+        members = freeze(members.select("token", "doc_id", "n", "component"), "members")
         before, turn = pairs_left, turn + 1
     if links is None:
         links = spark.createDataFrame([], "a bigint, b bigint")
     return _assembled(sized_docs, classes, links)
 
 
-def _cross_pairs(labelled: DataFrame, rule: Similarity, boundary: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, rule: Similarity, boundary: int) -> DataFrame:
     """All pairs that share enough keys, whose components differ and whose sizes allow a link."""
-    a = labelled.select("token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    b = labelled.select("token", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    near = (a["token"] == b["token"]) & (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b"))
-    met = a.join(b, near & _compatible(F.col("n_a"), F.col("n_b"), rule.percent))
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
-    return counted.filter(_enough(F.col("c"), F.col("n_a"), F.col("n_b"), rule, boundary)).select("a", "b").distinct()
+
+    def side(x):
+        return members.select("token", F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "most", "component")])
+
+    near = (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))
+    near &= _compatible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), rule.percent)
+    a, b = side("a"), side("b")
+    counted = a.join(b, (a["token"] == b["token"]) & near).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    return counted.filter(_enough(F.col("c"), F.col("n_a"), F.col("n_b"), rule, boundary)).select("a", "b")
 
 
 def _pivot_pairs(members: DataFrame, rule: Similarity, boundary: int, turn: int) -> DataFrame:
@@ -287,13 +299,13 @@ def _pivot_pairs(members: DataFrame, rule: Similarity, boundary: int, turn: int)
     A list's pivots are its most central members, one of each of three classes by hash: those with most keys that other
     sets have too, hence with fewest shingles of their own. A member takes the most central pivot of each class.
     """
-    central = F.struct("degree", (-F.col("doc_id")).alias("minus"), "n", "component")
+    central = F.struct("degree", (-F.col("doc_id")).alias("minus"), "n", "most", "component")
     of = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(3))
     pivots = members.groupBy("token").agg(*[F.max(F.when(of == j, central)).alias(f"p{j}") for j in range(3)])
     met = members.join(pivots, "token").select(
-        "doc_id", "n", "component", F.posexplode(F.array("p0", "p1", "p2")).alias("j", "p")
+        "doc_id", "n", "most", "component", F.posexplode(F.array("p0", "p1", "p2")).alias("j", "p")
     )
-    met = met.filter("component != p.component").filter(_compatible(F.col("n"), F.col("p.n"), rule.percent))
+    met = met.filter("component != p.component").filter(_compatible(F.col("n"), F.col("most"), F.col("p.n"), F.col("p.most"), rule.percent))
     counted = met.groupBy("doc_id", "n", "j", "p").agg(F.count(F.lit(1)).alias("c"))
     counted = counted.filter(_enough(F.col("c"), F.col("n"), F.col("p.n"), rule, boundary))
     one = counted.groupBy("doc_id", "j").agg((-F.max_by("p.minus", F.struct("p.degree", "c", "p.minus"))).alias("other"))
