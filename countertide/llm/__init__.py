@@ -1,6 +1,17 @@
 """Operators for corpora of training data, and their queries."""
 
-from countertide.llm import decontaminate, host_quality, html_text, jaccard_join, private_terms, sentencepiece_bpe, warc_zstd  # noqa: F401
+from countertide.llm import (  # noqa: F401
+    cotraining,
+    decontaminate,
+    host_quality,
+    html_text,
+    jaccard_join,
+    licences,
+    private_terms,
+    sentencepiece_bpe,
+    trie_counts,
+    warc_zstd,
+)
 from countertide.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
