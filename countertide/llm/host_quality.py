@@ -128,13 +128,13 @@ def host_verdicts(measured: DataFrame, limits: Limits, host: str = "source") ->
     )
 
 
-def judge(measured: DataFrame, limits: Limits = Limits(), host: str = "source", seen: DataFrame | None = None) -> DataFrame:
-    """``measured`` with ``base_failed`` and ``kept``. ``seen``: the same rows, cheaper to aggregate, if there are any.
+def judge(measured: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
+    """``measured`` (a written table) with ``base_failed`` and ``kept``.
 
     Only strict and blocked hosts are joined back. They are broadcast if few; else both sides are shuffled by host and
     the adaptive skew join splits a host that holds many rows.
     """
-    verdicts = host_verdicts(measured if seen is None else seen, limits, host)
+    verdicts = host_verdicts(measured, limits, host)
     named = freeze(verdicts.filter("strict").select(F.col("host").alias("_host"), F.col("blocked").alias("_blocked")), "strict_hosts")
     joined = measured.join(sized(named), F.col(f"`{host}`").eqNullSafe(F.col("_host")), "left")
     strict, n = F.col("_blocked").isNotNull(), F.col("n_words")
@@ -150,12 +150,16 @@ def judge(measured: DataFrame, limits: Limits = Limits(), host: str = "source",
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits(), host: str = "source", text: str = "text") -> DataFrame:
-    """The documents that pass, with the columns they came with. Texts are read twice and not shuffled for few hosts."""
+    """The documents that pass, with the columns they came with.
+
+    Documents and measures are written once, to be aggregated by host and then judged: nested measures in a filter would
+    be spelled out again for each of their uses.
+    """
     names = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text"), F.col(f"`{host}`").alias("_source"))
-    measured = measure(row, "_text")
-    kept = judge(measured, limits, "_source", measure(row.select("_text", "_source"), "_text"))
-    return kept.filter("kept").select(*[F.col("_row").getField(c).alias(c) for c in names])
+    measured = freeze(measure(row, "_text").drop("_text"), "measured")
+    kept = judge(measured, limits, "_source").filter("kept")
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in names])
 
 
 _W = r"[^\x20\x09-\x0D]+"
