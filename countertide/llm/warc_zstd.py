@@ -169,7 +169,7 @@ def export_archives(archives: DataFrame, folder: str) -> DataFrame:
                 data = content.as_py()
                 paths.append(f"{base}/{hashlib.sha1(data).hexdigest()}.warc.zst")
                 sizes.append(len(data))
-                with store.open_output_stream(paths[-1]) as out:
+                with store.open_output_stream(paths[-1], compression=None) as out:
                     out.write(data)
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["path", "bytes"])
 
