@@ -18,7 +18,7 @@ def clean(expr: str) -> str:
     return (
         r"trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce("
         + expr
-        + r", '')), 'http\S+|www\S+|https\S+', '', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+        + r", '')), '(http|www)[^\s\p{Z}]+', '', 'g'), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
     )
 
 

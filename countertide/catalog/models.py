@@ -39,7 +39,7 @@ def _clickbait(t):
 
 
 def _viral(t):
-    return _once(t, "viral", lambda: models.train_viral(features.viral_training_matrix(viral_rows(t)), max_iter=100))
+    return _once(t, "viral", lambda: models.train_viral(features.viral_training_matrix(viral_rows(t))))
 
 
 def _genre(t):

@@ -45,11 +45,12 @@ def _(t):
 
 @query(
     "joined_lower_text",
-    "SELECT video_id, trim(lower(coalesce(category_id, '') || ' ' || array_to_string(string_split(tags, ','), ' '))) AS text FROM videos",
+    "SELECT video_id, trim(lower(coalesce(title, '') || ' ' || array_to_string(string_split(tags, ','), ' ')), "
+    "chr(32)||chr(9)||chr(10)||chr(13)||chr(11)||chr(12)) AS text FROM videos",
 )
 def _(t):
     return t.videos().select(
-        "video_id", text.joined_lower(F.col("category_id"), F.split("tags", ",")).alias("text")
+        "video_id", text.joined_lower(F.col("title"), F.split("tags", ",")).alias("text")
     )
 
 

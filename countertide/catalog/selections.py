@@ -58,11 +58,12 @@ def _(t):
 @query(
     "followup_union",
     f"""SELECT video_id FROM videos WHERE first_seen_at BETWEEN {_ASOF} - INTERVAL 1530 MINUTE AND {_ASOF} - INTERVAL 1350 MINUTE
-UNION SELECT video_id FROM videos WHERE first_seen_at BETWEEN {_ASOF} - INTERVAL 2970 MINUTE AND {_ASOF} - INTERVAL 2790 MINUTE""",
+UNION SELECT video_id FROM videos WHERE first_seen_at BETWEEN {_ASOF} - INTERVAL 2970 MINUTE AND {_ASOF} - INTERVAL 2790 MINUTE
+UNION SELECT video_id FROM videos WHERE first_seen_at BETWEEN {_ASOF} - INTERVAL 10170 MINUTE AND {_ASOF} - INTERVAL 9990 MINUTE""",
 )
 def _(t):
     now = asof(t)
-    return select.distinct_ids(*[select.due_followups(t.videos(), now, lags=[h]) for h in (24, 48)])
+    return select.distinct_ids(*[select.due_followups(t.videos(), now, lags=[h]) for h in (24, 48, 168)])
 
 
 @query(
@@ -108,7 +109,13 @@ def _(t):
     return select.complete_rows(joined, ["lang", "quality"])
 
 
-@query("nonempty_tags", "SELECT video_id, trim(title) AS title, tags FROM videos WHERE trim(tags) <> ''")
+_BLANKS = "chr(32)||chr(9)||chr(10)||chr(13)||chr(11)||chr(12)"
+
+
+@query(
+    "nonempty_tags",
+    f"SELECT video_id, trim(title, {_BLANKS}) AS title, tags FROM videos WHERE trim(tags, {_BLANKS}) <> ''",
+)
 def _(t):
     return select.nonempty_tags(t.videos().select("video_id", "title", "tags"))
 

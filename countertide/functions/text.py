@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns, prefixes, keywords and fallbacks the results depend on.
-URL_PATTERN = r"http\S+|www\S+|https\S+"
+URL_PATTERN = r"(?:http|www)[^\s\p{Z}]+"
 NOT_WORD_PATTERN = r"[^\p{L}\p{N}_\s]"
 SPACE_PATTERN = r"\s+"
 UPPERCASE_CLASS = r"\p{IsUppercase}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from countertide.functions import numeric
 from countertide.functions.calendar import shifted
+from countertide.functions.text import strip
 from countertide.plans.ordered import exact_quantile
 
 # Hours after first sight at which items are fetched again, and the slack in minutes.
@@ -132,13 +133,13 @@ def complete_rows(df: DataFrame, cols: Sequence[str] = ("title", "tags")) -> Dat
     return df.dropna(subset=list(cols))
 
 
-def nonempty_tags(df: DataFrame, min_rows: int | None = 10) -> DataFrame:
-    """Rows with tags, the title trimmed; raises below ``min_rows`` because rules would mean nothing."""
+def nonempty_tags(df: DataFrame, min_rows: int | None = None) -> DataFrame:
+    """Rows with tags, the title trimmed. If ``min_rows`` is asked for, fewer rows raise, as rules would mean nothing."""
     out = df
     if "tags" in df.columns:
-        out = out.withColumn("tags", F.coalesce("tags", F.lit(""))).filter(F.trim("tags") != "")
+        out = out.withColumn("tags", F.coalesce("tags", F.lit(""))).filter(strip(F.col("tags")) != "")
     if "title" in df.columns:
-        out = out.withColumn("title", F.trim(F.coalesce("title", F.lit(""))))
+        out = out.withColumn("title", strip(F.coalesce("title", F.lit(""))))
     if min_rows and out.limit(min_rows).count() < min_rows:
         raise ValueError(f"fewer than {min_rows} rows with tags")
     return out

@@ -212,3 +212,8 @@ def test_flatten_structs(spark):
     flat = select.flatten_structs(df)
     assert flat.columns == ["s.a", "s.b.c", "timestamp"]
     assert flat.first()["timestamp"] == dt.datetime(2024, 1, 1)
+
+
+def test_link_ends_at_any_space(spark):
+    row = spark.createDataFrame([("see http://a.b/c\u00a0here",)], "x string").select(text.clean_text(F.col("x")).alias("y")).first()
+    assert row.y.replace("\u00a0", " ").split() == ["see", "here"]
