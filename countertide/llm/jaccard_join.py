@@ -13,7 +13,12 @@ Equal sets form classes, so copies cost one row each. What remains is an overlap
 Keys that only one set holds are dropped by an aggregation that is combined before its shuffle. Each list is scanned from
 a few central pivots first: its members are verified against these, and links form components. Only pairs of different
 components are verified after that, so a list of thousands of near copies gives thousands of pairs, not millions.
-Verification is exact, on whole sets.
+
+Near copies with too many edits to link stay apart, and all of them share most lists. So each set is told as its
+difference from an *anchor*, the most central set of its neighbourhood: two sets differ by the symmetric difference of
+these differences, hence sets of one anchor link only if their differences overlap enough. That is an overlap join
+again, on differences, where edits of one's own come first and are in no other list. Verification is exact, on whole
+sets.
 
 Defined results: null or empty texts have no shingles and no links, and are a component each; rows of one doc_id count as
 one document, which joins what any of them links to; an empty table gives an empty result; null ids are kept with a null
@@ -28,7 +33,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from countertide.llm.common import sized, slices, table
@@ -188,14 +193,19 @@ def _verifier(rule: Similarity):
     return verify
 
 
-def _verified(pairs: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs (a, b) that link. Sets are made for the documents of these pairs alone and travel with them."""
+def _with_sets(pairs: DataFrame, source: DataFrame, rule: Similarity, *carried: str) -> DataFrame:
+    """Pairs (a, b) with both sets. Sets are made for the documents of these pairs alone and travel with them."""
     ids = freeze(pairs.select(F.col("a").alias("_id")).unionAll(pairs.select("b")).distinct(), "pair_ids")
     texts = source.join(sized(ids), "_id", "left_semi").select("_id", "_text")
     sets = freeze(texts.mapInArrow(_set_writer(rule), "doc_id bigint, shingles binary"), "pair_sets")
     one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    return two.select("a", "b", "set_a", "set_b").mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
+    return two.select("a", "b", *carried, "set_a", "set_b")
+
+
+def _verified(pairs: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (a, b) that link."""
+    return _with_sets(pairs, source, rule).mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
 
 
 def _most(n, degree, rule: Similarity, boundary: int):
@@ -262,7 +272,14 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         members = members.join(degrees, "doc_id").withColumn("most", _most(F.col("n"), F.col("degree"), rule, boundary))
         members = freeze(members, "open_members")
         last = turn > 0 and (pairs_left <= 2 * members_left or pairs_left > 0.7 * before)
-        pairs = _cross_pairs(members, rule, boundary) if last else _pivot_pairs(members, rule, boundary, turn)
+        if not last:
+            pairs = _pivot_pairs(members, rule, boundary, turn)
+        elif pairs_left <= 2 * members_left:
+            pairs = _cross_pairs(members.withColumn("anchor", F.lit(None).cast("long")), rule, boundary)
+        else:
+            deltas = _deltas(members, source, rule)
+            anchored = members.join(deltas.select("doc_id", "anchor"), "doc_id", "left")
+            pairs = _cross_pairs(anchored, rule, boundary).unionAll(_delta_pairs(deltas, rule)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = freeze(pairs, "pairs")
@@ -281,12 +298,13 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
 
 
 def _cross_pairs(members: DataFrame, rule: Similarity, boundary: int) -> DataFrame:
-    """All pairs that share enough keys, whose components differ and whose sizes allow a link."""
+    """All pairs that share enough keys, whose components and anchors differ and whose sizes allow a link."""
 
     def side(x):
-        return members.select("token", F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "most", "component")])
+        return members.select("token", F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "most", "component", "anchor")])
 
     near = (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))
+    near &= F.coalesce(F.col("anchor_a") != F.col("anchor_b"), F.lit(True))
     near &= _compatible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), rule.percent)
     a, b = side("a"), side("b")
     counted = a.join(b, (a["token"] == b["token"]) & near).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
@@ -312,6 +330,86 @@ def _pivot_pairs(members: DataFrame, rule: Similarity, boundary: int, turn: int)
     return one.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
 
 
+def _anchors(members: DataFrame) -> DataFrame:
+    """(doc_id, n, component, anchor): each document's most central neighbour, followed from one to the next.
+
+    Any anchor gives right results; following them makes documents of one neighbourhood agree on one.
+    """
+    best = members.groupBy("token").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("p"))
+    told = members.join(best, "token").groupBy("doc_id").agg(
+        F.min("n").alias("n"), F.min("component").alias("component"), F.max("p").alias("p")
+    )
+    told = freeze(told.select("doc_id", "n", "component", (-F.col("p.minus")).alias("anchor")), "anchors")
+    for _ in range(3):  # each time twice as far
+        further = told.select(F.col("doc_id").alias("anchor"), F.col("anchor").alias("_to"))
+        told = told.join(further, "anchor").select("doc_id", "n", "component", F.col("_to").alias("anchor"))
+        told = freeze(told, "anchors")
+    return told
+
+
+def _subtract(batches):
+    """Symmetric difference of a set and its anchor's; null where it is longer than half the set."""
+    for batch in batches:
+        deltas = []
+        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            delta = np.setxor1d(x, y, assume_unique=True)
+            deltas.append(delta.view(np.int64) if 2 * len(delta) <= len(x) else None)
+        kept = [batch.column(c) for c in ("a", "b", "n", "component")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(deltas, pa.list_(pa.int64()))], names=["doc_id", "anchor", "n", "component", "delta"])
+
+
+def _deltas(members: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+    """(doc_id, anchor, n, component, delta) of documents that are near their anchor."""
+    pairs = _anchors(members).select(F.col("doc_id").alias("a"), F.col("anchor").alias("b"), "n", "component")
+    both = _with_sets(pairs, source, rule, "n", "component")
+    schema = "doc_id bigint, anchor bigint, n bigint, component bigint, delta array<bigint>"
+    deltas = freeze(both.mapInArrow(_subtract, schema), "deltas")
+    # Where the id or its anchor has several texts, there is no single difference: it stays with the lists.
+    single = deltas.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows = 1").select("doc_id")
+    return freeze(deltas.filter("delta IS NOT NULL").join(single, "doc_id"), "deltas")
+
+
+def _delta_pairs(deltas: DataFrame, rule: Similarity) -> DataFrame:
+    """Pairs of one anchor that can link, by their differences x and y from it.
+
+    Sets of sizes n and m link if |x ^ y| (100 + percent) <= (n + m) (100 - percent). With
+    ``e = |x| (100 + percent) - n (100 - percent)`` that is 2 |x & y| (100 + percent) >= e(x) + e(y). Where this sum is
+    not above 0, both link to the set with the least ``e`` of the anchor: one pair each is enough. Otherwise the
+    differences share an entry within their prefixes, by the least overlap that any partner asks for.
+    """
+    up, down = 100 + rule.percent, 100 - rule.percent
+    told = deltas.withColumn("d", F.size("delta").cast("long")).withColumn("e", F.col("d") * up - F.col("n") * down)
+    least = told.groupBy("anchor").agg(
+        F.min(F.struct("e", "doc_id", "component")).alias("least"), F.min("component").alias("c0"), F.max("component").alias("c1")
+    )
+    least = freeze(least.filter("c0 != c1").select("anchor", "least"), "least")
+    told = freeze(told.join(sized(least), "anchor"), "told")
+    certain = told.filter("e + least.e <= 0 AND component != least.component").select("doc_id", F.col("least.doc_id").alias("other"))
+    certain = certain.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b"))
+
+    asked = F.greatest(F.lit(1), F.ceil((F.col("e") + F.col("least.e")) / (2 * up)))
+    entries = told.select("anchor", "doc_id", "n", "component", "d", "e", (F.col("d") - asked + 1).alias("length"), F.explode("delta").alias("token"))
+    entries = freeze(entries.filter("length > 0"), "entries")
+    held = entries.groupBy("anchor", "token").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    ranked = freeze(entries.join(held, ["anchor", "token"]), "ranked")
+    # One document bounds the window: its difference.
+    order = Window.partitionBy("anchor", "doc_id").orderBy("c", "token")
+    listed = ranked.withColumn("place", F.row_number().over(order)).filter("place <= length AND c0 != c1")
+    listed = freeze(listed.select("anchor", "token", "doc_id", "n", "component", "d", "e", (F.col("d") - F.col("place") + 1).alias("rest")), "delta_lists")
+
+    def side(x):
+        return listed.select("anchor", "token", F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "component", "d", "e", "rest")])
+
+    a, b = side("a"), side("b")
+    near = (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b")) & (F.col("e_a") + F.col("e_b") > 0)
+    near &= F.abs(F.col("d_a") - F.col("d_b")) * up <= (F.col("n_a") + F.col("n_b")) * down
+    # All that two differences share lies at or after the first entry that they share.
+    near &= F.least("rest_a", "rest_b") * (2 * up) >= F.col("e_a") + F.col("e_b")
+    met = a.join(b, (a["anchor"] == b["anchor"]) & (a["token"] == b["token"]) & near)
+    return met.select("a", "b").unionAll(certain).distinct()
+
+
 def _assembled(sized_docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     # Rows of one doc_id with different texts tie the classes of these texts together.
     several = sized_docs.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 != k1")

@@ -239,6 +239,25 @@ def test_jaccard_join_equals_brute_force(spark, given, k, percent):
     assert sorted(r.doc_id for r in kept) == sorted(i for i, (_, c) in want.items() if c == i)
 
 
+def test_near_copies_that_stay_apart_meet_in_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base, docs = [f"v{i}" for i in range(200)], []
+    for n in range(500):
+        w = list(base)
+        for at in np.random.default_rng(n % 60).integers(0, 200, n % 3):  # edits that some share
+            w[at] = f"s{n % 60}"
+        for at in rng.integers(0, 200, 2 + n % 5):  # edits of one's own
+            w[at] = f"x{rng.integers(0, 10**9)}"
+        docs.append((n, " ".join(w)))
+    made = []
+    real = jaccard_join._delta_pairs
+    monkeypatch.setattr(jaccard_join, "_delta_pairs", lambda *a: made.append(real(*a)) or made[-1])
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_classes(frame, jaccard_join.Similarity(3, 90)).collect()}
+    assert got == brute_components(docs, 3, 90)
+    assert made and made[0].count() < 10 * len(docs)
+
+
 def test_jaccard_join_of_nothing(empty, odd):
     assert jaccard_join.join_classes(empty).count() == 0
     assert jaccard_join.keep_one(empty).count() == 0
