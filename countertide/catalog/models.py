@@ -25,7 +25,7 @@ def _once(t, name, fit):
 def _velocity(t):
     def fit():
         pair_rows = min_baseline(pairs.velocity_pairs(t.videos(), t.stats(), t.discovery()))
-        return models.train_velocity(features.velocity_features(pair_rows, uppercase=UPPERCASE), trees=20, depth=4, rate=0.1)
+        return models.train_velocity(features.velocity_features(pair_rows, uppercase=UPPERCASE))
 
     return _once(t, "velocity", fit)
 
@@ -43,7 +43,7 @@ def _viral(t):
 
 
 def _genre(t):
-    return _once(t, "genre", lambda: models.train_genre(features.genre_corpus(t.videos()), candidates=(50, 100), epochs=20))
+    return _once(t, "genre", lambda: models.train_genre(features.genre_corpus(t.videos())))
 
 
 def _forest(t):
@@ -133,7 +133,7 @@ def _(t):
 def _(t):
     corpus = features.genre_corpus(t.videos())
     weighted, _model = vectors.fit_text_vectors(corpus)
-    reduced, _basis = vectors.truncated_svd(weighted, "tfidf", 20)
+    reduced, _basis = vectors.truncated_svd(weighted, "tfidf", max(models.SVD_CANDIDATES))
     from pyspark.ml.functions import vector_to_array
 
     return reduced.select("video_id", vector_to_array("reduced").alias("reduced"))
@@ -146,7 +146,7 @@ def _(t):
     corpus = features.genre_corpus(t.videos())
     labelled = StringIndexer(inputCol="genre", outputCol="label", stringOrderType="alphabetAsc").fit(corpus).transform(corpus)
     weighted, _model = vectors.fit_text_vectors(models.train_part(models.split(labelled)))
-    return models.choose_svd_k(weighted, "label", (10, 20, 50))
+    return models.choose_svd_k(weighted, "label")
 
 
 @query("feature_importance")
@@ -164,12 +164,6 @@ def _(t):
     return models.feature_importance(_clickbait(t), t.videos())
 
 
-@query("feature_importance_anomaly")
-def _(t):
-    rows = list(_forest(t).feature_importance().items())
-    return t.spark.createDataFrame(rows, "feature string, importance double")
-
-
 @query("champion_gate_viral")
 def _(t):
     test = models.test_part(_viral(t).metrics).drop("split")

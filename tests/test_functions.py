@@ -217,3 +217,14 @@ def test_flatten_structs(spark):
 def test_link_ends_at_any_space(spark):
     row = spark.createDataFrame([("see http://a.b/c\u00a0here",)], "x string").select(text.clean_text(F.col("x")).alias("y")).first()
     assert row.y.replace("\u00a0", " ").split() == ["see", "here"]
+
+
+def test_stop_words_are_those_of_spark(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from countertide.functions.stopwords import ENGLISH_STOP_WORDS
+    from countertide.functions.text import clean_text
+
+    words = spark.createDataFrame([(w,) for w in StopWordsRemover.loadDefaultStopWords("english")], "w string")
+    cleaned = words.select(F.explode(F.split(clean_text(F.col("w")), " "))).distinct().collect()
+    assert sorted(r[0] for r in cleaned) == ENGLISH_STOP_WORDS
