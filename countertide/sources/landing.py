@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +41,24 @@ def _by_date(df: DataFrame) -> DataFrame:
 
 
 def append_stats(batch: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append snapshots under one folder per date; repeated (video_id, time) pairs in the batch collapse."""
+    """Append snapshots under one folder per date; of repeated (video_id, time) pairs, in the batch or stored, one stays.
+
+    Of the stored rows only the dates between the first and the last one of the batch are read.
+    """
     unique = batch.dropDuplicates(["video_id", "time"])
+    first, last = unique.agg(F.to_date(F.min("time")), F.to_date(F.max("time"))).first()
+    try:
+        stored = read_table(batch.sparkSession, path, fmt)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        day = F.col("date").cast("date")
+        known = stored.filter(day.between(F.lit(first), F.lit(last)) | day.isNull()).select(
+            F.col("video_id").alias("_id"), F.col("time").alias("_time")
+        )
+        same = F.col("video_id").eqNullSafe(F.col("_id")) & F.col("time").eqNullSafe(F.col("_time"))
+        unique = unique.join(known, same, "left_anti")
     _by_date(unique).write.mode("append").format(fmt).partitionBy("date").save(path)
 
 

@@ -387,3 +387,11 @@ def test_partitioned_series(spark, series):
     assert kept.count() == series.count()
     landing.overwrite_dates(series.filter("video_id = 'v1'"), path)
     assert landing.read_table(spark, path).count() == 6
+
+
+def test_stored_snapshots_are_not_appended_again(spark, series):
+    path = fresh_path(spark, "t-append")
+    undated = series.limit(1).withColumn("time", F.lit(None).cast("timestamp"))
+    for batch in (series, series, series.limit(0), undated, undated):
+        landing.append_stats(batch, path)
+    assert landing.read_table(spark, path).count() == series.count() + 1
