@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -42,11 +46,26 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
 
 
 def write_once(df: DataFrame, label: str) -> str:
-    """Write ``df`` to a path of its own and return the path."""
+    """Write ``df`` to a path of its own and return the path.
+
+    What the write shuffled is removed from the executors' disks with its end, as readers start from the written files;
+    otherwise it would lie there until the driver collects its garbage.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return path
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEAN_SHUFFLES)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
