@@ -17,8 +17,12 @@ components are verified after that, so a list of thousands of near copies gives
 Near copies with too many edits to link stay apart, and all of them share most lists. So each set is told as its
 difference from an *anchor*, the most central set of its neighbourhood: two sets differ by the symmetric difference of
 these differences, hence sets of one anchor link only if their differences overlap enough. That is an overlap join
-again, on differences, where edits of one's own come first and are in no other list. Verification is exact, on whole
-sets.
+again, on differences, where edits of one's own come first and are in no other list.
+
+Whole sets are larger than the texts, so they travel for likely pairs alone. Each set has a string of two to four bits a
+shingle, each bit the parity of the number of shingles that fall on it. Where two strings differ the sets differ too, so
+pairs whose strings differ more than a link allows are dropped without loss. Verification of the others is exact, on
+whole sets.
 
 Defined results: null or empty texts have no shingles and no links, and are a component each; rows of one doc_id count as
 one document, which joins what any of them links to; an empty table gives an empty result; null ids are kept with a null
@@ -60,7 +64,7 @@ class Similarity:
         return -((-n * self.percent) // 100)
 
 
-_EXTRACT = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64())])
+_EXTRACT = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("bits", pa.binary())])
 
 
 def text_sets(texts: pa.Array, rule: Similarity):
@@ -70,12 +74,28 @@ def text_sets(texts: pa.Array, rule: Similarity):
     return [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
+def parities(s: np.ndarray) -> bytes:
+    """At least two bits a shingle: bit ``i`` is the parity of the number of shingles that fall on ``i``."""
+    width = max(64, 1 << (2 * len(s) - 1).bit_length())
+    falls = (mixed(s) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(falls, minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two parity strings differ, the longer one folded: never more than the sets have different shingles."""
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, width), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def _extractor(rule: Similarity):
-    """Kind 0: a document's set as a digest and a size. Kind 1: shingles that are frequent in a part of the corpus, with
+    """Kind 0: a document's set as a digest, a size and its parities. Kind 1: shingles that are frequent in a part of the corpus, with
     their count. Kind 2: a sample of prefix shingles (by hash), for planning."""
 
-    def rows(kind, ids, keys, ns):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ns), kind), pa.int8()), pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(ns, pa.int64())], schema=_EXTRACT)
+    def rows(kind, ids, keys, ns, bits=None):
+        columns = [pa.array(np.full(len(ns), kind), pa.int8()), pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(ns, pa.int64())]
+        bits = pa.nulls(len(ns), pa.binary()) if bits is None else pa.array(bits, pa.binary())
+        return pa.RecordBatch.from_arrays([*columns, bits], schema=_EXTRACT)
 
     def frequent(held):
         values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -89,7 +109,7 @@ def _extractor(rule: Similarity):
                 sets = text_sets(part.column("_text"), rule)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                yield rows(0, part.column("_id"), keys, sizes)
+                yield rows(0, part.column("_id"), keys, sizes, [parities(s) for s in sets])
                 sampled = np.concatenate([s[: len(s) - rule.needed(len(s)) + 1] for s in sets]) if len(sets) else np.zeros(0, np.uint64)
                 sampled = sampled[mixed(sampled) % np.uint64(PLANNED) == 0]
                 yield rows(2, sampled.view(np.int64), pa.nulls(len(sampled), pa.binary()), np.ones(len(sampled), np.int64))
@@ -203,8 +223,31 @@ def _with_sets(pairs: DataFrame, source: DataFrame, rule: Similarity, *carried:
     return two.select("a", "b", *carried, "set_a", "set_b")
 
 
-def _verified(pairs: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+def _sieve(batches):
+    """Rows whose parity strings differ in ``most`` bits at most."""
+    for batch in batches:
+        kept = []
+        for x, y, most in zip(batch.column("bits_a"), batch.column("bits_b"), batch.column("most").to_pylist()):
+            x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+            kept.append(differing(x, y) <= most)
+        names = [c for c in batch.schema.names if c not in ("bits_a", "bits_b", "most")]
+        yield batch.select(names).filter(pa.array(kept, pa.bool_()))
+
+
+def _sieved(pairs: DataFrame, bits: DataFrame, most) -> DataFrame:
+    """Pairs (a, b) whose sets may differ in no more than ``most`` shingles, a column of the sizes n_a and n_b."""
+    for x in ("a", "b"):
+        told = bits.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+        pairs = pairs.join(told, x)
+    names = [c for c in pairs.columns if c not in ("n_a", "n_b", "bits_a", "bits_b")]
+    rows = pairs.select(*names, most.cast("long").alias("most"), "bits_a", "bits_b")
+    return rows.mapInArrow(_sieve, rows.select(*names).schema).distinct()
+
+
+def _verified(pairs: DataFrame, bits: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
     """The pairs (a, b) that link."""
+    most = F.floor((F.col("n_a") + F.col("n_b")) * (100 - rule.percent) / (100 + rule.percent))
+    pairs = freeze(_sieved(pairs, bits, most), "likely_pairs")
     return _with_sets(pairs, source, rule).mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
 
 
@@ -233,8 +276,9 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
-    read = freeze(source.mapInArrow(_extractor(rule), "kind tinyint, doc_id bigint, key binary, n bigint"), "sets")
+    read = freeze(source.mapInArrow(_extractor(rule), "kind tinyint, doc_id bigint, key binary, n bigint, bits binary"), "sets")
     sized_docs = read.filter("kind = 0").select("doc_id", "key", "n")
+    bits = read.filter("kind = 0 AND n > 1").select("doc_id", "n", "bits")
     classes = freeze(sized_docs.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
 
     # A shingle with that share of all has it in one of the parts that were counted, so none is overlooked.
@@ -277,13 +321,13 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         elif pairs_left <= 2 * members_left:
             pairs = _cross_pairs(members.withColumn("anchor", F.lit(None).cast("long")), rule, boundary)
         else:
-            deltas = _deltas(members, source, rule)
+            deltas = _deltas(members, sized_docs, bits, source, rule)
             anchored = members.join(deltas.select("doc_id", "anchor"), "doc_id", "left")
             pairs = _cross_pairs(anchored, rule, boundary).unionAll(_delta_pairs(deltas, rule)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = freeze(pairs, "pairs")
-        new = _verified(pairs, source, rule)
+        new = _verified(pairs, bits, source, rule)
         links = freeze(new if links is None else links.unionAll(new), "links")
         if last:
             break
@@ -359,15 +403,17 @@ def _subtract(batches):
         yield pa.RecordBatch.from_arrays([*kept, pa.array(deltas, pa.list_(pa.int64()))], names=["doc_id", "anchor", "n", "component", "delta"])
 
 
-def _deltas(members: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+def _deltas(members: DataFrame, sized_docs: DataFrame, bits: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
     """(doc_id, anchor, n, component, delta) of documents that are near their anchor."""
     pairs = _anchors(members).select(F.col("doc_id").alias("a"), F.col("anchor").alias("b"), "n", "component")
+    # Where the id or its anchor has several texts, there is no single difference: it stays with the lists.
+    several = freeze(sized_docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("doc_id"), "repeated_ids")
+    for x in ("a", "b"):
+        pairs = pairs.join(sized(several.withColumnRenamed("doc_id", x)), x, "left_anti")
+    pairs = freeze(_sieved(pairs, bits, F.floor(F.col("n_a") / 2)), "near_anchors")
     both = _with_sets(pairs, source, rule, "n", "component")
     schema = "doc_id bigint, anchor bigint, n bigint, component bigint, delta array<bigint>"
-    deltas = freeze(both.mapInArrow(_subtract, schema), "deltas")
-    # Where the id or its anchor has several texts, there is no single difference: it stays with the lists.
-    single = deltas.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows = 1").select("doc_id")
-    return freeze(deltas.filter("delta IS NOT NULL").join(single, "doc_id"), "deltas")
+    return freeze(both.mapInArrow(_subtract, schema).filter("delta IS NOT NULL"), "deltas")
 
 
 def _delta_pairs(deltas: DataFrame, rule: Similarity) -> DataFrame:

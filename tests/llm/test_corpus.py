@@ -258,6 +258,17 @@ def test_near_copies_that_stay_apart_meet_in_few_pairs(spark, monkeypatch):
     assert made and made[0].count() < 10 * len(docs)
 
 
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for n, m, shared in [(1, 1, 0), (2, 900, 2), (40, 40, 40), (300, 310, 290), (5000, 70, 70), (700, 700, 0)]:
+        both = rng.integers(0, 2**64, n + m - shared, dtype=np.uint64)
+        x, y = both[:n], np.concatenate([both[:shared], both[n:]])
+        a, b = (np.frombuffer(jaccard_join.parities(np.unique(s)), np.uint8) for s in (x, y))
+        apart = len(np.setxor1d(x, y))
+        assert jaccard_join.differing(a, b) == jaccard_join.differing(b, a) <= apart
+        assert jaccard_join.differing(a, b) > 0.2 * apart or apart == 0 or n != m
+
+
 def test_jaccard_join_of_nothing(empty, odd):
     assert jaccard_join.join_classes(empty).count() == 0
     assert jaccard_join.keep_one(empty).count() == 0
