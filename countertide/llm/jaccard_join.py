@@ -251,25 +251,30 @@ def _verified(pairs: DataFrame, bits: DataFrame, source: DataFrame, rule: Simila
     return _with_sets(pairs, source, rule).mapInArrow(_verifier(rule), "a bigint, b bigint").distinct()
 
 
-def _most(n, degree, rule: Similarity, boundary: int):
-    """Most shingles that a set can share with another one: of a heavy set's prefix only those in lists of several sets."""
-    return F.when(n <= boundary, n).otherwise(F.ceil(n * rule.percent / 100) - 1 + degree)
+def _most(n, degree, boundary: int):
+    """Most keys that a set can share with another one: a heavy set those of its prefix in open lists. Light sets are not bounded."""
+    return F.when(n <= boundary, n).otherwise(degree)
 
 
 def _compatible(n, most, m, most_m, percent: int):
-    """Whether sizes, and what the sets can share at most, allow a link."""
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(most, most_m) * (100 + percent) >= (n + m) * percent)
+    """Whether sizes, and the keys that both can share at most, allow a link."""
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(most, most_m) >= _asked(n, m, percent))
 
 
-def _enough(shared, n, m, rule: Similarity, boundary: int):
-    """Whether two sets with ``shared`` keys in common can link.
+def _asked(n, m, percent: int):
+    """Least number of single keys that two linked sets have in common.
 
-    Of two heavy sets one prefix ends first in the common order, and what it shares lies in both prefixes; so their
-    overlap is at most ``shared`` plus what follows that prefix. Lists of subsets say no more than that there is one.
+    One of the prefixes ends first in the common order, and what it shares lies in both prefixes; so the overlap is at
+    most the keys in common plus what follows that prefix, which may be either one.
     """
-    overlap = F.ceil((n + m) * rule.percent / (100 + rule.percent))
-    after = F.greatest(F.ceil(n * rule.percent / 100), F.ceil(m * rule.percent / 100)) - 1
-    return (F.least(n, m) <= boundary) | (shared >= overlap - after)
+    overlap = F.ceil((n + m) * percent / (100 + percent))
+    after = F.greatest(F.ceil(n * percent / 100), F.ceil(m * percent / 100)) - 1
+    return overlap - after
+
+
+def _enough(shared, n, m, rule: Similarity, boundary: int):
+    """Whether two sets with ``shared`` keys in common can link. Lists of subsets say no more than that there is one."""
+    return (F.least(n, m) <= boundary) | (shared >= _asked(n, m, rule.percent))
 
 
 def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -313,7 +318,7 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
         # Documents of different components share no closed list, so what they can share shrinks with the open ones.
         members = members.join(open_lists.select("token"), "token")
         degrees = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
-        members = members.join(degrees, "doc_id").withColumn("most", _most(F.col("n"), F.col("degree"), rule, boundary))
+        members = members.join(degrees, "doc_id").withColumn("most", _most(F.col("n"), F.col("degree"), boundary))
         members = freeze(members, "open_members")
         last = turn > 0 and (pairs_left <= 2 * members_left or pairs_left > 0.7 * before)
         if not last:

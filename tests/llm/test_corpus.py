@@ -258,6 +258,21 @@ def test_near_copies_that_stay_apart_meet_in_few_pairs(spark, monkeypatch):
     assert made and made[0].count() < 10 * len(docs)
 
 
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_isolated_texts_and_their_extensions_link(spark, k, percent):
+    rng, docs = np.random.default_rng(3), []
+    for n in range(240):
+        w = [f"p{n}w{i}" for i in range(60 + n)]
+        more = [f"p{n}x{i}" for i in range(max(1, round(len(w) * (0.02 + 0.02 * (n % 6)))))]
+        at = len(w) if n % 2 else int(rng.integers(0, len(w)))
+        docs += [(2 * n + n % 2, " ".join(w)), (2 * n + 1 - n % 2, " ".join(w[:at] + more + w[at:]))]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = brute_components(docs, k, percent)
+    assert 100 < sum(c != i for i, (_, c) in want.items()) <= 240
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_classes(frame, jaccard_join.Similarity(k, percent)).collect()}
+    assert got == want
+
+
 def test_parities_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     for n, m, shared in [(1, 1, 0), (2, 900, 2), (40, 40, 40), (300, 310, 290), (5000, 70, 70), (700, 700, 0)]:
