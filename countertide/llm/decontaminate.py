@@ -13,6 +13,9 @@ best place of the item's own length.
 
 Benchmark items are a query set: they are held in blocks of ``ITEM_BLOCK`` items, each block tried on all documents.
 
+Items of so few words that they may hold no start with a window behind it have windows at each of their words, which are
+tried at each word of the documents.
+
 Defined results: null or empty texts and items match nothing; items with fewer than ``shingle`` words are compared as
 one whole sequence; repeated document rows give their matches each, repeated items give one match for each item_id; empty
 tables give an empty result.
@@ -96,33 +99,37 @@ class Index:
         self.words = [words.hash[words.first[k] : words.first[k + 1]] for k in range(len(items))]
         self.lengths = [(words.end - words.start)[words.first[k] : words.first[k + 1]] for k in range(len(items))]
         self.by_size: dict[int, tuple] = {}
-        #: Sizes with items of fewer than ``REACH`` words: a document need not share a start with them.
-        self.dense: set[int] = set()
+        #: Items too short to hold a start and a window behind it in any case: their windows lie at each word, and so do the document's.
+        self.short: dict[int, tuple] = {}
         found: dict[int, list] = {}
+        short: dict[int, list] = {}
         for k, h in enumerate(self.words):
             if not len(h):
                 continue
             size = size_of(len(h))
-            begin = starts(h, np.zeros(len(h), np.int64))
+            is_short = len(h) < REACH + SIZES[0] - 1
+            begin = np.arange(len(h)) if is_short else starts(h, np.zeros(len(h), np.int64))
             begin = begin[begin + size <= len(h)]
-            if len(h) < REACH:
-                self.dense.add(size)
             prints = fingerprints(running_signs(h), begin, size)
-            found.setdefault(size, []).extend((int(p), k, int(b)) for p, b in zip(prints, begin))
+            (short if is_short else found).setdefault(size, []).extend((int(p), k, int(b)) for p, b in zip(prints, begin))
         edges = np.linspace(0, 64, rule.radius + 2).astype(int)
         self.cuts = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:])]
-        for size, rows in found.items():
-            prints = np.array([r[0] for r in rows], np.uint64)
-            tables = []
-            for shift, mask in self.cuts:
-                value = (prints >> shift) & mask
-                order = np.argsort(value, kind="stable")
-                tables.append((value[order], order))
-            self.by_size[size] = (prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), tables)
-
-    def candidates(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item fingerprint) of all pairs within the radius, each once."""
-        own, _, _, tables = self.by_size[size]
+        for listed, held in ((found, self.by_size), (short, self.short)):
+            for size, rows in listed.items():
+                held[size] = self._tables(rows)
+
+    def _tables(self, rows: list) -> tuple:
+        prints = np.array([r[0] for r in rows], np.uint64)
+        tables = []
+        for shift, mask in self.cuts:
+            value = (prints >> shift) & mask
+            order = np.argsort(value, kind="stable")
+            tables.append((value[order], order))
+        return prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), tables
+
+    def candidates(self, prints: np.ndarray, size: int, among: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item fingerprint) of all pairs within the radius, each once. ``among``: the windows of one kind, by size."""
+        own, _, _, tables = (self.by_size if among is None else among)[size]
         pairs = []
         for (shift, mask), (values, order) in zip(self.cuts, tables):
             value = (prints >> shift) & mask
@@ -156,6 +163,7 @@ def weighted_shingles(hashes: np.ndarray, lengths: np.ndarray, k: int) -> tuple[
 
 def best_similarity(item: tuple, region: tuple, k: int) -> float:
     """Largest weighted Jaccard similarity of the item and a place of its length in the region."""
+    k = min(k, len(item[0]))
     (ih, iw), (rh, rw) = weighted_shingles(*item, k), weighted_shingles(*region, k)
     if not len(ih) or not len(rh):
         return 0.0
@@ -185,15 +193,14 @@ def matches(texts: pa.Array, index: Index) -> list[tuple[int, int, float, int]]:
     lengths = words.end - words.start
     best: dict[tuple[int, int], tuple[float, int]] = {}
     tried = set()
-    for size, (_, items, offsets, _) in index.by_size.items():
-        fits = begin[begin + size <= len(words.hash)]
+    tables = [(size, index.by_size, begin) for size in index.by_size] + [(size, index.short, np.arange(len(words.hash))) for size in index.short]
+    for size, among, places in tables:
+        _, items, offsets, _ = among[size]
+        fits = places[places + size <= len(words.hash)]
         fits = fits[words.text[fits] == words.text[fits + size - 1]]
-        if size in index.dense:
-            every = np.arange(max(0, len(words.hash) - size + 1))
-            fits = every[words.text[every] == words.text[every + size - 1]]
         for a in range(0, len(fits), 1 << 17):
             at = fits[a : a + (1 << 17)]
-            window, other = index.candidates(fingerprints(sums, at, size), size)
+            window, other = index.candidates(fingerprints(sums, at, size), size, among)
             for w, o in zip(at[window].tolist(), other.tolist()):
                 item, text = int(items[o]), int(words.text[w])
                 guess = w - int(offsets[o])

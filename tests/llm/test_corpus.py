@@ -180,6 +180,15 @@ def test_benchmark_passages_are_found(spark, given, odd, empty):
     assert decontaminate.contamination(odd, given["benchmark"].limit(0)).count() == 0
 
 
+def test_exact_copies_of_short_items_are_found():
+    rng = np.random.default_rng(8)
+    items = [(k, " ".join(f"s{x}" for x in rng.integers(0, 10**6, 1 + k % 20))) for k in range(800)]
+    index = decontaminate.Index(items, decontaminate.Matching())
+    around = [[" ".join(f"r{x}" for x in rng.integers(0, 10**6, n)) for n in rng.integers(0, 12, 2)] for _ in items]
+    found = decontaminate.matches(pa.array([f"{a} {t} {b}" for (_, t), (a, b) in zip(items, around)]), index)
+    assert {(t, i) for t, i, s, _ in found if s == 1.0} >= {(k, k) for k, _ in items}
+
+
 def test_hamming_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(4)
     index = decontaminate.Index([(k, " ".join(f"t{x}" for x in rng.integers(0, 10**6, 40))) for k in range(200)], decontaminate.Matching())
