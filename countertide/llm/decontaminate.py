@@ -13,8 +13,11 @@ best place of the item's own length.
 
 Benchmark items are a query set: they are held in blocks of ``ITEM_BLOCK`` items, each block tried on all documents.
 
-Items of so few words that they may hold no start with a window behind it have windows at each of their words, which are
-tried at each word of the documents.
+A large window covers the middle of its item, and a word changed there may change more bits than the radius. So each
+item has second windows, small enough to fit between the changes that the similarity allows. Items of so few words that
+what is in common may hold no start with a window behind it have windows at each of their words, which are tried at each
+word of the documents. No place is lost if the item's words are of one length; else changes to many short words can leave
+runs shorter than that.
 
 Defined results: null or empty texts and items match nothing; items with fewer than ``shingle`` words are compared as
 one whole sequence; repeated document rows give their matches each, repeated items give one match for each item_id; empty
@@ -24,6 +27,7 @@ tables give an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +89,19 @@ def size_of(n_words: int) -> int:
     return min(fitting[-1], n_words)
 
 
+def clean_run(n_words: int, rule: Matching) -> int:
+    """Words in a row that an item of ``n_words`` and any place similar to it have in common at least, for words of one length.
+
+    The place keeps ``similarity`` of the item's shingles at least. Of ``n`` words cut into runs of at most ``r``, no more
+    than ``(r - k + 1) (n + 1) / (r + 1)`` shingles of ``k`` words are whole.
+    """
+    k = rule.shingle
+    if n_words < k:
+        return n_words
+    kept = rule.similarity * (n_words - k + 1) / (n_words + 1)
+    return min(n_words, ceil((k - 1 + kept) / (1 - kept) - 1e-9))
+
+
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
@@ -99,22 +116,30 @@ class Index:
         self.words = [words.hash[words.first[k] : words.first[k + 1]] for k in range(len(items))]
         self.lengths = [(words.end - words.start)[words.first[k] : words.first[k + 1]] for k in range(len(items))]
         self.by_size: dict[int, tuple] = {}
-        #: Items too short to hold a start and a window behind it in any case: their windows lie at each word, and so do the document's.
+        #: Second windows, so small that one lies between the changed words of a place that is similar.
+        self.smaller: dict[int, tuple] = {}
+        #: Where what is in common need not hold a start and a window behind it, windows lie at each word, and so do the document's.
         self.short: dict[int, tuple] = {}
         found: dict[int, list] = {}
+        smaller: dict[int, list] = {}
         short: dict[int, list] = {}
         for k, h in enumerate(self.words):
             if not len(h):
                 continue
-            size = size_of(len(h))
-            is_short = len(h) < REACH + SIZES[0] - 1
-            begin = np.arange(len(h)) if is_short else starts(h, np.zeros(len(h), np.int64))
-            begin = begin[begin + size <= len(h)]
-            prints = fingerprints(running_signs(h), begin, size)
-            (short if is_short else found).setdefault(size, []).extend((int(p), k, int(b)) for p, b in zip(prints, begin))
+            sums, begin, room = running_signs(h), starts(h, np.zeros(len(h), np.int64)), clean_run(len(h), rule) - REACH + 1
+            if room < SIZES[0]:
+                windows = [(short, min(SIZES[0], len(h)), np.arange(len(h)))]
+            else:
+                windows = [(smaller, [s for s in SIZES if s <= room][-1], begin)]
+            if len(h) >= REACH + SIZES[0] - 1 and size_of(len(h)) not in [size for _, size, _ in windows]:
+                windows.append((found, size_of(len(h)), begin))
+            for listed, size, places in windows:
+                places = places[places + size <= len(h)]
+                prints = fingerprints(sums, places, size)
+                listed.setdefault(size, []).extend((int(p), k, int(b)) for p, b in zip(prints, places))
         edges = np.linspace(0, 64, rule.radius + 2).astype(int)
         self.cuts = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:])]
-        for listed, held in ((found, self.by_size), (short, self.short)):
+        for listed, held in ((found, self.by_size), (smaller, self.smaller), (short, self.short)):
             for size, rows in listed.items():
                 held[size] = self._tables(rows)
 
@@ -193,7 +218,8 @@ def matches(texts: pa.Array, index: Index) -> list[tuple[int, int, float, int]]:
     lengths = words.end - words.start
     best: dict[tuple[int, int], tuple[float, int]] = {}
     tried = set()
-    tables = [(size, index.by_size, begin) for size in index.by_size] + [(size, index.short, np.arange(len(words.hash))) for size in index.short]
+    tables = [(size, among, begin) for among in (index.by_size, index.smaller) for size in among]
+    tables += [(size, index.short, np.arange(len(words.hash))) for size in index.short]
     for size, among, places in tables:
         _, items, offsets, _ = among[size]
         fits = places[places + size <= len(words.hash)]

@@ -189,6 +189,28 @@ def test_exact_copies_of_short_items_are_found():
     assert {(t, i) for t, i, s, _ in found if s == 1.0} >= {(k, k) for k, _ in items}
 
 
+def test_passages_with_changed_words_are_found():
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"c{x}" for x in rng.integers(10**5, 10**6, n)]
+    items = [word(n) for n in (9, 13, 16, 20, 31, 49, 52, 54, 56, 75, 109, 160, 230)]
+    index, places = decontaminate.Index([(k, " ".join(w)) for k, w in enumerate(items)], decontaminate.Matching()), []
+    for k, w in enumerate(items):
+        for at in range(len(w)):
+            places += [(k, w[:at] + word(1) + w[at + 1 :]), (k, w[:at] + word(1) + w[at:]), (k, w[:at] + w[at + 1 :])]
+        for _ in range(60):  # two changes
+            a, b = sorted(rng.integers(0, len(w), 2).tolist())
+            places.append((k, w[:a] + word(1) + w[a + 1 : b] + word(1) + w[b + 1 :]))
+    texts = [" ".join(word(k % 9) + w + word(k % 7)) for k, (_, w) in enumerate(places)]
+    found = {(t, i) for t, i, _, _ in decontaminate.matches(pa.array(texts), index)}
+
+    def told(text):
+        w = decontaminate.Words(pa.array([text]))
+        return w.hash, w.end - w.start
+
+    want = {(t, k) for t, (k, _) in enumerate(places) if decontaminate.best_similarity(told(" ".join(items[k])), told(texts[t]), 5) >= 0.8}
+    assert len(want) > 1500 and want <= found
+
+
 def test_hamming_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(4)
     index = decontaminate.Index([(k, " ".join(f"t{x}" for x in rng.integers(0, 10**6, 40))) for k in range(200)], decontaminate.Matching())
