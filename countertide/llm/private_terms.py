@@ -1,15 +1,16 @@
 """Personal data and the terms that give it away (operator 4).
 
 Mails, addresses, card and phone numbers are found by pattern and verified. Around each, the words within a window are
-its context. Over the whole corpus it is counted in how many documents an entity stands, in how many different contexts
-of it a term stands, and in how many documents the term stands at all. Pointwise mutual information against the
-information of the entity itself says how strongly the term discloses it:
+its context. Over the whole corpus it is counted in how many different texts an entity stands, in how many of them a term
+stands in a context of it, and in how many different texts the term stands at all. Pointwise mutual information against
+the information of the entity itself says how strongly the term discloses it:
 
     disclosure(c, t) = log(N n(c, t) / (n(c) n(t))) / log(N / n(c))
 
 which is 1 if the term never stands without the entity. Terms above a threshold are generalised, above a higher one
-removed, in the windows of that entity. Copies of one context count once, so that a text copied a thousand times
-discloses nothing by that alone, and terms seen in fewer than ``min_contexts`` contexts are left alone.
+removed, in the windows of that entity. All of these count copies of a text once. Terms seen in fewer than
+``min_contexts`` different contexts of an entity are left alone, so that a context copied into a thousand texts discloses
+nothing by that alone.
 
 Defined results: a null text holds nothing and stays null; repeated rows are found each; an empty table gives an empty
 result; further columns are kept.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countertide.llm.common import BROADCAST_ROWS, slices, table
+from countertide.llm.common import BROADCAST_ROWS, sized, slices, table
 from countertide.llm.registry import query
 from countertide.plans.shared import freeze
 
@@ -166,42 +167,51 @@ def find(docs: DataFrame, window: int, text: str = "text") -> DataFrame:
 
 
 def _term_counter(wanted):
-    """Documents that hold a term, summed by slice. ``wanted``: the terms to count, or None for all."""
+    """Documents that hold a term, by the number of copies of their texts, summed by slice. ``wanted``: the terms to count, or None for all."""
 
     def count(batches):
         terms = None if wanted is None else wanted.value
         for batch in batches:
             for part in slices(batch, "_text"):
-                n: Counter = Counter()
-                for t in part.column("_text").to_pylist():
+                by_copies: dict[int, Counter] = {}
+                for t, copies in zip(part.column("_text").to_pylist(), part.column("_copies").to_pylist()):
                     if t:
                         # The same words as in contexts(): the first run of letters of each word.
                         words = {m[0] for w in set(_SPLIT.findall(t.lower())) if (m := _WORD.search(w))}
-                        n.update(words if terms is None else words & terms)
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
+                        by_copies.setdefault(copies, Counter()).update(words if terms is None else words & terms)
+                for copies, n in by_copies.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(n), pa.string()), pa.array([copies] * len(n), pa.int64()), pa.array(list(n.values()), pa.int64())],
+                        names=["term", "copies", "n"],
+                    )
 
     return count
 
 
-def disclosing(docs: DataFrame, near: DataFrame, settings: Disclosure, text: str = "text") -> DataFrame:
-    """(entity, term, kind) of the terms that disclose an entity. ``near``: a written table of (row, entity, context, term)."""
-    pairs = freeze(
-        near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= settings.min_contexts),
-        "pairs",
-    )
+def disclosing(docs: DataFrame, near: DataFrame, texts: DataFrame, settings: Disclosure, text: str = "text") -> DataFrame:
+    """(entity, term, kind) of the terms that disclose an entity.
+
+    ``near``: of a written table, (same, entity, context, term), where ``same`` is a hash of the text. ``texts``: a written table of
+    (same, copies), one row for each different text of ``docs``.
+    """
+    often = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts"))
+    pairs = freeze(often.filter(F.col("n_contexts") >= settings.min_contexts).select("entity", "term"), "pairs")
     n_pairs = pairs.count()
     if not n_pairs:  # nothing is seen often enough, whatever the terms' own counts are
         return pairs.select("entity", "term", F.lit(REMOVED).alias("kind"))
     wanted = None
     if n_pairs <= BROADCAST_ROWS:
         wanted = docs.sparkSession.sparkContext.broadcast({r.term for r in pairs.select("term").distinct().collect()})
-    source = docs.select(F.col(f"`{text}`").cast("string").alias("_text"))
-    terms = source.mapInArrow(_term_counter(wanted), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = near.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = docs.count()
-    scored = pairs.join(terms, "term").join(entities, "entity").filter(F.col("n_entity") < total)
-    # Copies count once in n_both but each in the other two; PMI is taken over the share of the term's documents.
+    both = near.select("entity", "term", "same").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    source = docs.select(F.col(f"`{text}`").cast("string").alias("_text")).withColumn("_same", F.xxhash64("_text"))
+    several = freeze(texts.filter("copies > 1").select(F.col("same").alias("_same"), F.col("copies").alias("_copies")), "copied_texts")
+    source = source.join(sized(several), "_same", "left").select("_text", F.coalesce("_copies", F.lit(1)).cast("long").alias("_copies"))
+    # Each text of so many copies is met so many times: whole numbers.
+    terms = source.mapInArrow(_term_counter(wanted), "term string, copies bigint, n bigint").groupBy("term", "copies").agg(F.sum("n").alias("n"))
+    terms = terms.groupBy("term").agg(F.sum(F.expr("n div copies")).alias("n_term"))
+    entities = near.select("entity", "same").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    total = texts.count()
+    scored = pairs.join(both, ["entity", "term"]).join(terms, "term").join(entities, "entity").filter(F.col("n_entity") < total)
     score = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
     return scored.select("entity", "term", score.alias("score")).filter(F.col("score") >= settings.generalise).select(
         "entity", "term", F.when(F.col("score") >= settings.remove, REMOVED).otherwise(GENERALISED).alias("kind")
@@ -211,10 +221,11 @@ def disclosing(docs: DataFrame, near: DataFrame, settings: Disclosure, text: str
 def sanitise_spans(docs: DataFrame, settings: Disclosure = Disclosure(), text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys``, ``n_*``, ``base`` (base spans) and ``spans`` (all of them): a written table, one row for each row of ``docs``."""
     # A row is known by its keys and its text, so that rows of one id with other texts stay apart.
-    row = docs.select(*[F.col(f"`{k}`") for k in keys], F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text"))
+    row = docs.select(*[F.col(f"`{k}`") for k in keys], F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`")).alias("row"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("same"), F.col(f"`{text}`").alias("text"))
     found = freeze(find(row, settings.window), "private")
-    near = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    told = freeze(disclosing(docs, near, settings, text), "disclosing")
+    near = found.filter(F.size("near") > 0).select("row", "same", F.explode("near").alias("x")).select("row", "same", "x.*")
+    texts = freeze(found.groupBy("same").agg(F.count(F.lit(1)).alias("copies")), "different_texts")
+    told = freeze(disclosing(docs, near, texts, settings, text), "disclosing")
     terms = (
         near.join(told, ["entity", "term"])
         .select("row", "kind", "start", "end")
@@ -256,8 +267,6 @@ def sanitise(docs: DataFrame, settings: Disclosure = Disclosure(), text: str = "
     spans = freeze(spans, "spans")
     names = docs.columns
     row = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`")))
-    from countertide.llm.common import sized
-
     met = row.join(sized(spans.withColumnRenamed("row", "_of")), F.col("_row") == F.col("_of"), "left")
     source = met.select(*[F.col(f"`{c}`") for c in names if c != text], F.col(f"`{text}`").cast("string").alias("_text"), "_spans")
     schema = source.drop("_text", "_spans").schema.add("_clean", "string")

@@ -161,6 +161,23 @@ def test_disclosing_terms_are_cleaned(spark, odd, empty):
     assert private_terms.sanitise(empty).count() == 0 and private_terms.sanitise_spans(empty).count() == 0
 
 
+def test_terms_in_copied_texts_are_cleaned(spark):
+    fill, rng, texts = [f"filler{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)], np.random.default_rng(10), []
+    for k in range(60):
+        words = list(rng.choice(fill, 30))
+        if k < 3:  # stands without the entity nowhere
+            words[10:12] = ["ask", "Zebulon", "jo@mail.example.com"]
+        if k < 12:  # stands without it mostly
+            words[14] = "Ordinary"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(rows_of([*texts[:3] * 10, *texts[3:], *texts[20:30] * 4]), DOCS)
+    clean = [r.text for r in private_terms.sanitise(docs).collect()]
+    assert sum("[...] [EMAIL]" in t for t in clean) == 30 and not any("Zebulon" in t for t in clean)
+    assert sum("Ordinary" in t for t in clean) == 39
+    once = spark.createDataFrame(rows_of(texts), DOCS)
+    assert {r.text for r in private_terms.sanitise(once).collect()} == set(clean)
+
+
 def test_benchmark_passages_are_found(spark, given, odd, empty):
     items = {r.item_id: r.text for r in given["benchmark"].collect()}
     rng = np.random.default_rng(2)
