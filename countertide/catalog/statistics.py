@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from countertide.catalog.feature_tables import bait_rows
 from countertide.catalog.registry import query
 from countertide.catalog.selections import asof
-from countertide.operators import gates, integrity, metrics, stats
+from countertide.operators import exact_ks, gates, integrity, metrics, stats
 from countertide.operators.select import stats_with_metadata
 
 # Truth and prediction come from the labelled documents: quality against a size rule.
@@ -254,6 +254,43 @@ def _(t):
     return stats.drift_verdict(stats.ks_two_sample(_drift(t))).select("feature", "verdict")
 
 
+def _exact_ks_sql(rows: str) -> str:
+    """The same test as a recursive walk: rows of a step are the points of an anti-diagonal; p is what left the band."""
+    return f"""WITH RECURSIVE r AS MATERIALIZED ({rows}),
+n AS (SELECT feature, count(*) FILTER (NOT current) AS n, count(*) FILTER (current) AS m FROM r GROUP BY feature),
+s AS (SELECT feature, sum(count(*) FILTER (NOT current)) OVER w AS a, sum(count(*) FILTER (current)) OVER w AS b
+      FROM r GROUP BY feature, value WINDOW w AS (PARTITION BY feature ORDER BY value)),
+d AS (SELECT feature, CAST(n AS BIGINT) AS n, CAST(m AS BIGINT) AS m, CAST(max(abs(a * m - b * n)) AS BIGINT) AS gap
+      FROM s JOIN n USING (feature) WHERE n > 0 AND m > 0 GROUP BY ALL),
+walk AS (
+  SELECT feature, n, m, gap, CAST(0 AS BIGINT) AS t, CAST(0 AS BIGINT) AS i, 1.0e0 AS f, gap <= 0 AS out FROM d
+  UNION ALL
+  SELECT feature, n, m, gap, t, i, sum(f), abs(i * m - (t - i) * n) >= gap
+  FROM (SELECT feature, n, m, gap, t + 1 AS t, i + step AS i, f * (CASE WHEN step = 1 THEN n - i ELSE m - (t - i) END) / (n + m - t) AS f
+        FROM walk, (SELECT unnest([0, 1]) AS step)
+        WHERE NOT out AND t < n + m AND (CASE WHEN step = 1 THEN n - i ELSE m - (t - i) END) > 0)
+  GROUP BY feature, n, m, gap, t, i)
+SELECT feature, n AS n_reference, m AS n_current, CAST(gap AS DOUBLE) / n / m AS ks_statistic,
+       least(coalesce(sum(f) FILTER (out), 0), 1) AS p_value, 'exact' AS method
+FROM walk GROUP BY feature, n, m, gap"""
+
+
+_LENGTHS_SQL = """SELECT lang AS feature, n_chars AS value, quality = 1 AS current
+FROM documents JOIN labels USING (doc_id) WHERE n_chars IS NOT NULL"""
+
+
+@query("ks_exact", _exact_ks_sql(_LENGTHS_SQL), doubles="ks_statistic p_value")
+def _(t):
+    # Do good and bad documents of a language differ in length?
+    rows = t.given("documents").join(t.given("labels"), "doc_id").filter(F.col("n_chars").isNotNull())
+    return exact_ks.ks_exact(rows.select(F.col("lang").alias("feature"), F.col("n_chars").alias("value"), (F.col("quality") == 1).alias("current")))
+
+
+@query("ks_exact_drift", _exact_ks_sql(_DRIFT_SQL), doubles="ks_statistic p_value")
+def _(t):
+    return exact_ks.ks_exact(_drift(t))
+
+
 @query(
     "mean_shift",
     f"""SELECT feature, avg(value) FILTER (NOT current) AS reference_mean, avg(value) FILTER (current) AS current_mean,
