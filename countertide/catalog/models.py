@@ -1,4 +1,4 @@
-"""Models over whole tables: M16-M30. Their rows depend on the learner, so they have no SQL."""
+"""Models over whole tables: M16-M31. What depends on a large ensemble has no SQL; a first split and its gate have."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from countertide.catalog.feature_tables import anomaly_rows, bait_rows, live_row
 from countertide.catalog.registry import query
 from countertide.catalog.scalars import UPPERCASE
 from countertide.functions.text import tag_list
-from countertide.operators import features, forest, gates, metrics, models, pairs, stats, vectors
+from countertide.operators import boosting, features, forest, gates, metrics, models, pairs, stats, vectors
 from countertide.operators.select import min_baseline
+from countertide.plans.shared import fresh_path, freeze
+from countertide.sources.model_store import ModelStore, gate_stored
 
 _fitted: dict[tuple[str, str, str], object] = {}
 
@@ -31,11 +33,7 @@ def _velocity(t):
 
 
 def _clickbait(t):
-    def fit():
-        space = {"maxIter": (5, 10), "maxDepth": (2, 4), "minInstancesPerNode": (2, 5)}
-        return models.train_clickbait(bait_rows(t), space=space, n_settings=2, folds=2)
-
-    return _once(t, "clickbait", fit)
+    return _once(t, "clickbait", lambda: models.train_clickbait(bait_rows(t)))
 
 
 def _viral(t):
@@ -168,3 +166,80 @@ def _(t):
 def _(t):
     test = models.test_part(_viral(t).metrics).drop("split")
     return gates.champion_gate(test, None, "f1")
+
+
+@query("label_encode", "SELECT video_id, genre, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS DOUBLE) AS label FROM (SELECT video_id, category_id AS genre FROM videos WHERE category_id IS NOT NULL)", doubles="label")
+def _(t):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = t.videos().filter(F.col("category_id").isNotNull()).select("video_id", F.col("category_id").alias("genre"))
+    return StringIndexer(inputCol="genre", outputCol="label", stringOrderType="alphabetAsc").fit(rows).transform(rows)
+
+
+_LENGTH_INPUTS = ("n_chars", "hour", "lines")
+_QUALITY_SQL = """SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, CAST(doc_id % 72 AS DOUBLE) AS hour,
+       CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS lines, CAST(quality AS DOUBLE) AS y,
+       CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0 AS test
+FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL"""
+# A tree of one split, all borders tried: gains of both sides over the undivided rows, penalty 1.
+_STUMP_SQL = f"""rows AS MATERIALIZED ({_QUALITY_SQL}),
+base AS (SELECT round(avg(y), 9) AS b FROM rows WHERE NOT test),
+long AS (SELECT doc_id, y, unnest([0, 1, 2]) AS k, unnest([n_chars, hour, lines]) AS x FROM rows WHERE NOT test),
+border AS (SELECT DISTINCT k, unnest(quantile_disc(x, [p / 64.0e0 FOR p IN range(1, 64)])) AS cut FROM long GROUP BY k),
+sums AS (SELECT k, cut, sum(b - y) FILTER (x <= cut) AS gl, count(*) FILTER (x <= cut) AS nl, sum(b - y) FILTER (x > cut) AS gr,
+                count(*) FILTER (x > cut) AS nr FROM long JOIN border USING (k), base GROUP BY k, cut),
+split AS (SELECT k, cut, coalesce(gl, 0) ** 2 / (nl + 1) + coalesce(gr, 0) ** 2 / (nr + 1)
+                 - (coalesce(gl, 0) + coalesce(gr, 0)) ** 2 / (nl + nr + 1) AS gain, -gl / (nl + 1) AS low, -gr / (nr + 1) AS high
+          FROM sums WHERE nl > 0 AND nr > 0 ORDER BY round(gain, 6) DESC, k, cut LIMIT 1)"""
+
+
+def _quality_rows(t):
+    rows = t.given("labels").join(t.given("documents"), "doc_id").filter(F.col("text").isNotNull())
+    return rows.select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        (F.col("doc_id") % 72).cast("double").alias("hour"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("double").alias("lines"),
+        F.col("quality").cast("double").alias("y"),
+    )
+
+
+def _stump(train):
+    return boosting.fit_boosted(train, _LENGTH_INPUTS, "y", [boosting.Setting(1, 1, 1.0, 1.0, 1, "squared")])[0]
+
+
+@query(
+    "boosting_root_split",
+    f"""WITH {_STUMP_SQL} SELECT ['n_chars', 'hour', 'lines'][k + 1] AS feature, cut AS border, round(gain, 3) AS gain,
+       round(low, 3) AS low, round(high, 3) AS high FROM split""",
+)
+def _(t):
+    train = models.train_part(models.split(_quality_rows(t), ["doc_id"]))
+    model = _stump(train)
+    tree = model.trees[0]
+    f, (low, high) = tree.feature[0], (tree.value[tree.left[0]], tree.value[tree.right[0]])
+    row = (model.names[f], model.borders[f][tree.border[0]], round(tree.gain[0], 3), round(low, 3), round(high, 3))
+    return t.spark.createDataFrame([row], "feature string, border double, gain double, low double, high double")
+
+
+@query(
+    "champion_gate_stored",
+    f"""WITH {_STUMP_SQL},
+p AS (SELECT y, b AS old, b + CASE WHEN [n_chars, hour, lines][k + 1] <= cut THEN low ELSE high END AS new FROM rows, base, split WHERE test),
+e AS (SELECT sqrt(avg((y - new) ** 2)) AS new_score, sqrt(avg((y - old) ** 2)) AS old_score FROM p)
+SELECT 'rmse' AS metric, round(new_score, 4) AS new_score, round(old_score, 4) AS old_score, round(old_score - new_score, 4) AS gain,
+       old_score - new_score >= 0 AS promoted, 'compared' AS reason FROM e""",
+)
+def _(t):
+    # The champion predicts the mean, the challenger has one split; both are stored, loaded and scored on one written split.
+    rows = freeze(models.split(_quality_rows(t), ["doc_id"]), "gate")
+    train, test = models.train_part(rows), models.test_part(rows)
+    store = ModelStore(t.spark, fresh_path(t.spark, "store"))
+    champion = boosting.fit_boosted(train, _LENGTH_INPUTS, "y", [boosting.Setting(0)])[0]
+    store.promote("quality", store.save("quality", champion), None)
+
+    def score(model, df):
+        return metrics.regression_metrics(model.transform(df, "p"), "y", "p")
+
+    verdict = gate_stored(store, "quality", store.save("quality", _stump(train)), test, score, "rmse")
+    return verdict.select("metric", *[F.round(c, 4).alias(c) for c in ("new_score", "old_score", "gain")], "promoted", "reason")

@@ -7,12 +7,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from countertide.functions import numeric
 from countertide.functions.calendar import cyclic_hour
 from countertide.functions.text import UPPERCASE_CLASS, clean_text, strip, title_features
 from countertide.operators import features as feats
-from countertide.operators import metrics, vectors
+from countertide.operators import boosting, metrics, vectors
 from countertide.plans.shared import freeze
 
 # Search spaces and layer sizes.
@@ -112,35 +111,23 @@ class Trained:
 def train_velocity(
     features: DataFrame,
     target: str = "views",
-    trees: int = 100,
+    trees: int = 2000,
     depth: int = 6,
     rate: float = 0.02,
-    loss: str = "absolute",
+    leaf_penalty: float = 5.0,
+    loss: str = "huber",
     key: Sequence[str] = ("video_id",),
+    block_rows: int = boosting.BLOCK_ROWS,
 ) -> Trained:
-    """Boosted regression trees on the log of the target.
-
-    Huber loss is not offered by Spark; absolute loss is the robust one it has. The category is
-    indexed, so that trees treat it as a category and not as a number.
-    """
+    """Boosted symmetric trees on the log of the target, Huber loss of width 1; the category by ordered target means."""
     names = tuple(c for c in feats.VELOCITY_FEATURES if c in features.columns)
     rows = freeze(split(features, key).withColumn("_log_target", F.log1p(F.col(target).cast("double"))), "velocity")
-    stages, inputs = [], list(names)
-    if "category_id" in names:
-        stages.append(StringIndexer(inputCol="category_id", outputCol="_category", handleInvalid="keep"))
-        inputs[inputs.index("category_id")] = "_category"
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    prepared = Pipeline(stages=stages).fit(train_part(rows))
-    ready = prepared.transform(rows).cache()
-    categories = len(prepared.stages[0].labels) + 1 if "category_id" in names else 2
-    booster = GBTRegressor(
-        featuresCol="features", labelCol="_log_target", predictionCol="log_prediction",
-        maxIter=trees, maxDepth=depth, stepSize=rate, lossType=loss, maxBins=max(32, categories), seed=42,
-    )
-    fitted = booster.fit(train_part(ready))
-    ready.unpersist()
-    model = PipelineModel(stages=[*prepared.stages, fitted])
-    scored = model.transform(rows)
+    setting = boosting.Setting(trees, depth, rate, leaf_penalty, 1, loss, symmetric=True)
+    category = "category_id" if "category_id" in names else None
+    model = boosting.fit_boosted(
+        train_part(rows).filter(F.col("_log_target").isNotNull()), names, "_log_target", [setting], category=category, key=key, block_rows=block_rows
+    )[0]
+    scored = model.transform(rows, "log_prediction")
     return Trained(model, names, scored, metrics.log_and_real_metrics(scored, target, "log_prediction", by=["split"]))
 
 
@@ -151,7 +138,7 @@ def score_velocity(trained: Trained, df: DataFrame, key: str = "video_id") -> Da
     for name in trained.features:
         complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
     filled = df.withColumn("_complete", complete).fillna(0, subset=list(trained.features))
-    raw = trained.model.transform(filled)
+    raw = trained.model.transform(filled, "log_prediction")
     views = F.floor(F.greatest(F.expm1("log_prediction"), F.lit(0.0))).cast("bigint")
     return raw.select(
         key,
@@ -178,31 +165,50 @@ def train_clickbait(
     space: Mapping[str, Sequence[object]] = CLICKBAIT_SEARCH,
     n_settings: int = 20,
     folds: int = 3,
-    parallelism: int = 2,
+    rate: float = 0.3,
+    block_rows: int = boosting.BLOCK_ROWS,
 ) -> Trained:
     """Boosted trees with a weighted positive class; settings are drawn at random and compared by f1.
 
-    Feature rows are distinct, so the row itself is the key of the split. Bins of equal settings
-    are shared across folds by caching the assembled rows once.
+    All settings and folds are fitted in the same passes; a fold is a mask. Feature rows are distinct, so the row itself
+    is the key of the split. The best mean f1 over folds wins, of equal ones the setting drawn first.
     """
     names = tuple(c for c in feats.CLICKBAIT_FEATURES if c in features.columns)
     marked = freeze(split(features, key=names), "clickbait")
     balance = metrics.class_balance(train_part(marked), label).select("scale_pos_weight").scalar()
     weighted = marked.withColumn("weight", F.when(F.col(label) == 1, balance).otherwise(1.0))
-    ready = assembled(weighted, names).withColumn("_label", F.col(label).cast("double")).cache()
-    booster = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="weight", seed=42)
-    grid = [{booster.getParam(k): v for k, v in g.items()} for g in sampled_grid(space, n_settings)]
-    search = CrossValidator(
-        estimator=booster, estimatorParamMaps=grid, evaluator=PositiveF1(), numFolds=folds, foldCol="_fold",
-        parallelism=parallelism,
-    )
-    best = search.fit(with_folds(train_part(ready), names, folds)).bestModel
-    ready.unpersist()
+    ready = freeze(with_folds(weighted.withColumn("_label", F.col(label).cast("double")), names, folds), "clickbait-folds")
+    grid = sampled_grid(space, n_settings)
+
+    def setting(g: Mapping[str, object], fold: int) -> boosting.Setting:
+        return boosting.Setting(int(g["maxIter"]), int(g["maxDepth"]), rate, 1.0, int(g.get("minInstancesPerNode", 1)), "logistic", fold=fold)
+
+    train = train_part(ready)
+    tried = [(g, fold) for g in range(len(grid)) for fold in range(folds)]
+    fits = boosting.fit_boosted(
+        train, names, "_label", [setting(grid[g], fold) for g, fold in tried], weight="weight", fold="_fold", block_rows=block_rows
+    )
+    scores = [0.0] * len(grid)
+    for (g, _), f1 in zip(tried, held_out_f1(train, fits, [fold for _, fold in tried])):
+        scores[g] += f1 / folds
+    chosen = setting(grid[int(np.argmax(scores))], -1)
+    best = boosting.fit_boosted(train, names, "_label", [chosen], weight="weight", block_rows=block_rows)[0]
     scored = best.transform(ready)
     result = metrics.classification_metrics(scored, label, "prediction", by=["split"])
     return Trained(best, names, scored, result)
 
 
+def held_out_f1(train: DataFrame, fits: Sequence[boosting.Boosted], folds: Sequence[int], label: str = "_label") -> list[float]:
+    """f1 of class 1 of each fit on the fold that it left out, all in one pass; 0 without such rows."""
+    scored = boosting.margins(train, fits)
+    terms = []
+    for k, fold in enumerate(folds):
+        here, guess, true = F.col("_fold") == fold, F.col("_margins")[k] > 0, F.col(label) == 1.0
+        terms += [2.0 * F.count_if(here & guess & true), F.count_if(here & guess) + F.count_if(here & true)]
+    row = scored.agg(F.array(*[t.cast("double") for t in terms])).head()[0]
+    return [a / b if b else 0.0 for a, b in zip(row[::2], row[1::2])]
+
+
 def clickbait_request_features(df: DataFrame, uppercase: str = UPPERCASE_CLASS) -> DataFrame:
     """Serving inputs from title, hour, day and weekend flag: the title is trimmed and the times are clamped."""
     clamp = lambda name, top: F.greatest(F.least(F.coalesce(F.col(name), F.lit(0)), F.lit(top)), F.lit(0))
@@ -219,7 +225,8 @@ def clickbait_request_features(df: DataFrame, uppercase: str = UPPERCASE_CLASS)
 
 
 def _binary_scores(trained: Trained, df: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
-    ready = assembled(df, trained.features)
+    check_inputs(df, trained.features)
+    ready = df if isinstance(trained.model, boosting.Boosted) else assembled(df, trained.features)
     return trained.model.transform(ready).select(
         key,
         F.when(F.col("prediction") == 1.0, names[1]).otherwise(names[0]).alias("label"),
@@ -383,10 +390,10 @@ def score_genre(trained: Trained, df: DataFrame, key: str = "video_id") -> DataF
 
 
 def feature_importance(trained: Trained, df: DataFrame) -> DataFrame:
-    """(feature, importance): tree importances or absolute coefficients. One row per input."""
-    model = trained.model.stages[-1] if isinstance(trained.model, PipelineModel) else trained.model
-    if hasattr(model, "featureImportances"):
-        weights = model.featureImportances.toArray()
+    """(feature, importance): shares of the gains or absolute coefficients. One row per input."""
+    model = trained.model
+    if isinstance(model, boosting.Boosted):
+        weights = model.importances
     else:
         weights = np.abs(model.coefficients.toArray())
     rows = [(n, float(w)) for n, w in zip(trained.features, weights)]
