@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from countertide.catalog import (  # noqa: F401
+    evaluation,
     feature_tables,
     histories,
     ingestion,
