@@ -5,6 +5,7 @@ from countertide.catalog import (  # noqa: F401
     feature_tables,
     histories,
     ingestion,
+    integrity,
     mining,
     models,
     scalars,
