@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,13 @@ from countertide.llm.registry import query
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces in the model format
 _NO_PAIR = np.int32(2**31 - 1)
-CACHED_WORDS = 300_000
+#: Bytes of encoded words that a task holds on to, and what one word costs besides its strings.
+CACHED_BYTES = 64 << 20
+_WORD_BYTES = 340
+#: Letters of words that are merged at a time; each takes about a hundred bytes while it is merged.
+MERGED_LETTERS = 1 << 17
+#: Bytes of text that are split into words at a time; a single longer text is split alone.
+SLICE_BYTES = 1 << 20
 
 
 def _fields(data: bytes):
@@ -182,17 +187,36 @@ class Codec:
     def __init__(self, model: Model):
         self.model, self.letters = model, model.letter_table()
         self.id_text = [str(i) for i in range(len(model.pieces))]
-        #: Ids as text, the bytes they decode to, and the ids.
-        self.words: dict[str, tuple[str, bytes, list[int]]] = {}
+        #: Ids as text, the bytes they decode to, and the ids as packed 32-bit values.
+        self.words: dict[str, tuple[str, bytes, bytes]] = {}
+        #: Words met before these; of them, those met again move over.
+        self.older: dict[str, tuple[str, bytes, bytes]] = {}
+        self.held = 0
 
     def split(self, text: str | None) -> list[str]:
         return self.model.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def learn(self, words: set[str]) -> None:
-        """Encode words that are new; forget the others if too many are held."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words, new = {}, list(words)
+        """Encode words that are new; first forget those not met lately if many bytes are held."""
+        if self.held > CACHED_BYTES // 2:
+            self.older, self.words, self.held = self.words, {}, 0
+        group: list[str] = []
+        letters = 0
+        for w in words:
+            if w in self.words:
+                continue
+            if w in self.older:
+                self._keep(w, self.older[w])
+                continue
+            if group and letters + len(w) > MERGED_LETTERS:
+                self._encode_words(group)
+                group, letters = [], 0
+            group.append(w)
+            letters += len(w)
+        if group:
+            self._encode_words(group)
+
+    def _encode_words(self, new: list[str]) -> None:
         symbols, first = merge_words(new, self.model, self.letters)
         ids_of, byte_ids = self.model.ids, self.model.byte_ids
         for k, w in enumerate(new):
@@ -204,7 +228,12 @@ class Codec:
                 else:
                     letter = chr(-1 - s) if s < 0 else self.model.symbols[s]
                     ids.extend(int(byte_ids[b]) for b in letter.encode())
-            self.words[w] = (" ".join([self.id_text[i] for i in ids]), self.decode_bytes(ids), ids)
+            entry = (" ".join([self.id_text[i] for i in ids]), self.decode_bytes(ids), np.array(ids, np.int32).tobytes())
+            self._keep(w, entry)
+
+    def _keep(self, word: str, entry: tuple[str, bytes, bytes]) -> None:
+        self.words[word] = entry
+        self.held += _WORD_BYTES + len(word) + sum(map(len, entry))
 
     def decode_bytes(self, ids) -> bytes:
         """UTF-8 of pieces, their space marks as spaces; runs of byte pieces that are no UTF-8 give U+FFFD for each byte."""
@@ -226,7 +255,8 @@ class Codec:
         """Ids of each text, the end id last."""
         parts = [self.split(t) for t in texts]
         self.learn(set().union(*parts))
-        return [[i for w in p for i in self.words[w][2]] + [self.model.end_id] for p in parts]
+        end = np.array([self.model.end_id], np.int32).tobytes()
+        return [np.frombuffer(b"".join([*(self.words[w][2] for w in p), end]), np.int32).tolist() for p in parts]
 
     def decode(self, ids) -> str:
         text = self.decode_bytes(ids).decode()
@@ -247,7 +277,7 @@ def _each_slice(shared, make, names):
     def run(batches):
         codec = Codec(shared.value)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE_BYTES):
                 kept = [part.column(n) for n in names]
                 yield pa.RecordBatch.from_arrays([*kept, *make(codec, part.column("_text").to_pylist()).values()], names=[*names, *make.columns])
 
@@ -272,14 +302,17 @@ def _digests(codec: Codec, texts: list[str | None]) -> dict:
 def _whole(codec: Codec, texts: list[str | None]) -> dict:
     parts = [codec.split(t) for t in texts]
     codec.learn(set().union(*parts))
-    words, end = codec.words, [codec.model.end_id]
-    ids, texts = [], []
+    words, end = codec.words, np.array([codec.model.end_id], np.int32).tobytes()
+    packed, texts, sizes = [], [], [0]
     for p in parts:
         known = [words[w] for w in p]
-        ids.append(list(chain.from_iterable(k[2] for k in known)) + end)
+        packed += [k[2] for k in known] + [end]
+        sizes.append(sum([len(k[2]) for k in known]) + len(end))
         text = b"".join([k[1] for k in known]).decode()  # a word ends with a letter, so words decode one by one
         texts.append(text[1:] if text[:1] == " " else text)
-    return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
+    ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+    offsets = pa.array((np.cumsum(sizes) // 4).astype(np.int32))
+    return {"ids": pa.ListArray.from_arrays(offsets, ids), "decoded": pa.array(texts, pa.string())}
 
 
 _digests.columns = ("n_tokens", "ids_sha256", "decoded_sha256")
