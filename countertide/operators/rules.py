@@ -53,36 +53,43 @@ def association_rules(
 ) -> DataFrame:
     """Rules with any number of consequents: lift at least, confidence strictly above, their bounds.
 
-    Every proper non-empty subset of an itemset is a candidate antecedent, numbered by a bit mask.
-    Confidence is known after the first lookup, so most candidates are gone before the second.
-    ``digits`` rounds confidence and lift before the comparison.
+    Consequents grow an item at a time in a prefix tree over each itemset: a rule's confidence only falls as items move from
+    its antecedents to its consequents, so a consequent is extended only while it is confident, and only by later items that are
+    confident alone. No subset of an itemset is spelled out that has no confident rule below it. Antecedents are looked up by
+    a join; each level is written, and there are as many as the largest consequent has items. ``digits`` rounds
+    confidence and lift before the comparison.
     """
     supports = itemsets.select("items", "support")
-    whole = itemsets.filter(F.size("items") > 1).select("items", "support")
-    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 2L)")
-    split = whole.select("items", "support", F.explode(masks).alias("mask")).select(
-        F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1L) = 1L)").alias("antecedents"),
-        F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1L) = 0L)").alias("consequents"),
-        "support",
-    )
 
     def compared(name: str):
         return F.col(name) if digits is None else F.round(name, digits)
 
-    confident = (
-        split.join(supports.withColumnsRenamed({"items": "antecedents", "support": "antecedent_support"}), "antecedents")
-        .withColumn("confidence", F.col("support") / F.col("antecedent_support"))
-        .filter(compared("confidence") > min_confidence)
-    )
+    def confident(candidates: DataFrame) -> DataFrame:
+        """Candidates (items, support, consequents, ...) with their antecedents, as far as they are confident."""
+        cut = candidates.withColumn("antecedents", F.array_except("items", "consequents"))
+        known = supports.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
+        rated = cut.join(known, "antecedents").withColumn("confidence", F.col("support") / F.col("antecedent_support"))
+        return rated.filter(compared("confidence") > min_confidence)
+
+    whole = itemsets.filter(F.size("items") > 1).select(F.array_sort("items").alias("items"), "support")
+    single = confident(whole.withColumn("consequents", F.explode(F.transform("items", lambda i: F.array(i)))))
+    level = freeze(single, "rules-1")
+    # The items that are confident alone, one row an itemset and at most as long as it.
+    alone = level.groupBy("items").agg(F.array_sort(F.flatten(F.collect_list("consequents"))).alias("alone"))
+    found = level
+    size = 1
+    while not level.isEmpty():
+        size += 1
+        wider = level.filter(F.size("items") > size).select("items", "support", "consequents").join(alone, "items")
+        later = F.filter("alone", lambda i: i > F.element_at("consequents", -1))
+        grown = wider.withColumn("_next", F.explode(later)).select("items", "support", F.concat("consequents", F.array("_next")).alias("consequents"))
+        level = freeze(confident(grown), f"rules-{size}")
+        found = found.unionByName(level)
     return (
-        confident.join(
-            supports.withColumnsRenamed({"items": "consequents", "support": "consequent_support"}), "consequents"
-        )
+        found.join(supports.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support")), "consequents")
         .withColumn("lift", F.col("confidence") / F.col("consequent_support"))
         .filter(compared("lift") >= min_lift)
-        .select(
-            "antecedents", "consequents", "antecedent_support", "consequent_support", "support", "confidence", "lift"
-        )
+        .select("antecedents", "consequents", "antecedent_support", "consequent_support", "support", "confidence", "lift")
     )
 
 
