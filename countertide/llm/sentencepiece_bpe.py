@@ -28,7 +28,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces in the model format
 _NO_PAIR = np.int32(2**31 - 1)
 #: Bytes of encoded words that a task holds on to, and what one word costs besides its strings.
-CACHED_BYTES = 64 << 20
+CACHED_BYTES = 96 << 20
 _WORD_BYTES = 340
 #: Letters of words that are merged at a time; each takes about a hundred bytes while it is merged.
 MERGED_LETTERS = 1 << 17
