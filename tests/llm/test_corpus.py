@@ -392,6 +392,42 @@ def test_main_text_without_article_element(spark):
     assert [(r.text, r.n_chars) for r in got] == [("", 0)] * 4 and html_text.extract(pages).columns == ["page_id", "url", "text", "n_chars"]
 
 
+BODY = [f"This is what the page has to say and it is told in plain words that are easy to read for all of us, part {k}." for k in range(4)]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<div>{body}</div><article><h3>Next</h3><p>Short teaser</p></article>", "{text}"),
+        ("<article><h3>Next</h3><p>Short teaser</p></article><div>{body}</div>", "{text}"),
+        ("<article><h1>Head</h1></article><div>{body}</div>", "Head\n{text}"),
+        ("<article>{body}</article><article><h3>Next</h3><p>Short teaser</p></article>", "{text}"),
+        ("<article>{body}</article><p>Short end</p>", "{text}"),
+        ("<div>{body}<p>Short end.</p></div>", "{text}\nShort end."),
+        ("<div>{body}</div><ul><li><a href='/x'>All of the other pages</a></li></ul><p>Short end.</p>", "{text}"),
+        ("<div class='social-history'>{body}</div>", "{text}"),
+        ("<article><section class='legal_theory'>{body}</section></article>", "{text}"),
+        ("<article>{body}<div class='social-links'>{body}</div><div class='related'>{body}</div></article>", "{text}"),
+        ("<article>{body}<div class='share-it-now'><p>Tell your friends</p></div></article>", "{text}"),
+        ("<div>Closed today.</div><div>Open on Monday.</div>", "Closed today.\nOpen on Monday."),
+        ("<article><p>Kurz.</p></article><p>Anderes</p>", "Kurz."),
+        ("<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul>", ""),
+    ],
+)
+def test_main_text_by_block_rules(page, expected):
+    body, text = "".join(f"<p>{b}</p>" for b in BODY), "\n".join(BODY)
+    assert html_text.main_text("<html><body>" + page.replace("{body}", body) + "</body></html>") == expected.replace("{text}", text)
+
+
+def test_main_text_of_odd_pages(spark):
+    long = "<article>" + "".join(f"<p>{b}</p>" for b in BODY * 3000)
+    rows = [(1, None, "x"), (2, "", "x"), (3, long, "x"), (3, long, "x"), (4, "<p>Cut off <a href='", "x"), (None, "<p", "x")]
+    frame = spark.createDataFrame(rows, "page_id long, html string, text string")
+    got = html_text.extract(frame).collect()
+    assert sorted(len(r.text) for r in got) == sorted([0, 0, len("\n".join(BODY * 3000)), len("\n".join(BODY * 3000)), 7, 0])
+    assert all(r.n_chars == len(r.text) for r in got) and html_text.extract(frame.limit(0)).count() == 0
+
+
 def test_quality_of_labels_held_out(spark, given):
     docs = given["documents"].selectExpr("doc_id", "text", "source AS host", "lang AS language")
     labels = given["labels"]
