@@ -6,8 +6,10 @@ import base64
 import collections
 import hashlib
 import html
+import math
 import os
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ from countertide.llm import (
     host_quality,
     html_text,
     jaccard_join,
+    licence_texts,
     licences,
     private_terms,
     sentencepiece_bpe,
@@ -439,6 +442,47 @@ def test_quality_of_labels_held_out(spark, given):
     assert cotraining.score(odd.limit(0), cotraining.train(odd.limit(0), labels.limit(0))).count() == 0
 
 
+def test_rounds_of_cotraining_equal_brute_force(spark):
+    """What either view passes on, over all unlabelled vectors, against plain counting over sorted scores."""
+    rng = np.random.default_rng(5)
+    x = [rng.normal(size=(700, 6)).astype(np.float16), rng.normal(size=(700, 3)).astype(np.float16)]
+    x = [np.concatenate([v, v[:1].repeat(350, 0), v[:20]]) for v in x]  # one vector holds a third of all rows
+    views = [rng.normal(size=7), rng.normal(size=4)]
+    rows = list(zip(*[[bytearray(r.tobytes()) for r in v] for v in x]))
+    fresh = spark.createDataFrame(rows, "content binary, metadata binary").selectExpr("xxhash64(content, metadata) AS vector", "*").repartition(5)
+    rule = cotraining.Training(exchanged=30, share=0.2)
+    sure = cotraining._sure_rows(fresh, rule)
+    gone = set()
+    for turn in range(2):
+        left = [k for k in range(700) if k not in gone]
+        cell = [cotraining.cells(v, w) for v, w in zip(x, views)]
+        says = []
+        for c in cell:
+            ordered = sorted(c[k] for k in left)
+            low, high = ordered[math.ceil(0.2 * 0.6 * len(left)) - 1], ordered[-math.ceil(0.2 * 0.4 * len(left))]
+            says.append({k: 1 if c[k] >= high else 0 for k in left if c[k] >= high or c[k] <= low})
+        clash = {k for k in says[0] if says[1].get(k, says[0][k]) != says[0][k]}
+        for view, (rows, told) in enumerate(sure(views, turn, 0.4)):
+            got = [next(k for k in left if (x[0][k] == r).all()) for r in rows[0]]
+            assert len(set(got)) == len(got) == 30 and told.sum() == 12 and not clash & set(got)
+            assert all(says[view][k] == t for k, t in zip(got, told)) and all((x[1][k] == r).all() for k, r in zip(got, rows[1]))
+            gone |= set(got)
+
+
+def test_cotraining_of_odd_rows(spark, given):
+    docs = given["documents"].selectExpr("doc_id", "text", "source AS host", "lang AS language")
+    clash = "'a' AS Score", "'b' AS p_content", "'c' AS kept", "1 AS row", "2 AS vector", "3 AS told", "'d' AS content"
+    odd = spark.createDataFrame([(None, "a text of no id", None, None), (3, None, "h", None), (3, LONG, "h", "en"), (3, LONG, "h", "en")], "doc_id long, text string, host string, language string")
+    both = docs.unionByName(odd).unionByName(docs.limit(5)).selectExpr("*", *clash)
+    labels = given["labels"].select("doc_id", "quality").unionAll(spark.createDataFrame([(None, 1), (3, None), (3, 1), (3, 1), (10**9, 0)], "doc_id long, quality long"))
+    got = cotraining.score(both, cotraining.train(both, labels))
+    assert got.columns == ["doc_id", "row", "vector", "told", "content", "p_content", "p_metadata", "score", "kept"]
+    rows = got.collect()
+    assert len(rows) == both.count() and all(0 <= r.score <= 1 and r.row == 1 and r.content == "d" for r in rows)
+    one = cotraining.train(both, labels.filter("quality = 1"))
+    assert cotraining.score(odd, one).filter("score > 0.99").count() == 4
+
+
 def test_trie_counts_equal_unigram_library(odd, empty):
     tokenizers = pytest.importorskip("tokenizers")
     vocabulary = trie_counts.zipf_vocabulary(trie_counts.default_model())
@@ -469,6 +513,43 @@ def test_licences_and_inheritance(spark):
     assert licences.inherit(licences.own_licences(frame.limit(0))).count() == 0
 
 
+def test_licences_equal_sql(spark):
+    class Query:
+        sql = SQL["op8_licences"]
+
+        def __call__(self, spark, folder):
+            return QUERIES["op8_licences"](spark, folder)
+
+    state, rows, _ = compare(spark, connect(FOLDER), FOLDER, Query())
+    assert state == "ok" and rows
+
+
+def test_whole_licence_texts_are_licence_files(spark):
+    rows = [(name, f"Copyright (c) 2021 Some Body\n\n{textwrap.fill(text, 60)}", True) for name, text in licence_texts.LICENCE_TEXTS]
+    story = "It was a bright cold day in April and the clocks were striking thirteen as they went home. " * 60
+    rows += [("MPL-2.0", story + "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. " + story, False)]
+    wrapped = textwrap.fill(dict((n, t) for n, t in licences.NOTICES if n == "Apache-2.0" and len(t) > 90)["Apache-2.0"], 30)
+    rows += [("Apache-2.0", story + "\n" + wrapped + "\n" + story, False), (None, story, False), (None, "license " + story, False)]
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "id long, expected string, text string, expected_file boolean")
+    for r in licences.own_licences(frame).collect():
+        assert (r.licence, r.is_file) == (r.expected, r.expected_file), r
+
+
+def test_licences_of_odd_rows(spark):
+    """Ties in a directory, columns that clash with results and internal names, repeated rows, nulls, very long texts."""
+    mit, apache = "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: Apache-2.0"
+    rows = [("r/A", apache), ("r/B", mit), ("r/B", mit), ("r/c", "x"), ("r/c", "x"), ("r/d", None), (None, None), ("e", ""), ("z/long", "word " * 200_000 + "\n" + mit)]
+    schema = "path string, text string, licence string, Similarity string, key int, row int, dir string, up string, effective int"
+    frame = spark.createDataFrame([(*r, "mine", "mine", 5, 6, "mine", "mine", 7) for r in rows], schema)
+    got = licences.inherit(licences.own_licences(frame))
+    assert sorted(got.columns) == sorted(["path", "key", "row", "dir", "up", "licence", "similarity", "is_file", "effective", "inherited_from"])
+    told = {r.path: r for r in got.collect()}
+    assert got.count() == len(rows) and told["r/A"].similarity == told["r/B"].similarity == 1.0
+    assert told["r/c"].effective == told["r/d"].effective == "Apache-2.0" and told["r/c"].inherited_from == "r"
+    assert told[None].effective is None and told["e"].effective is None and (told["r/c"].key, told["r/c"].dir) == (5, "mine")
+    assert told["z/long"].licence == "MIT" and not told["z/long"].is_file
+
+
 def test_pipeline_stages(spark, given):
     import corpus_pipeline
 
