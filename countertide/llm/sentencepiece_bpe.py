@@ -7,7 +7,8 @@ a word without a pair leaves. A word merges one place at a time where a merge co
 than the one at hand, so that the order of merges stays that of the one-at-a-time rule.
 
 Defined results: a null or empty text gives the end id alone and decodes to the empty string; repeated rows are encoded
-each; an empty table gives an empty result. Characters outside the vocabulary become their UTF-8 byte pieces.
+each; a very long text is encoded whole, in a slice of its own; columns that bear the name of a result are replaced, all others but
+the text kept; an empty table gives an empty result. Characters outside the vocabulary become their UTF-8 byte pieces.
 """
 
 from __future__ import annotations

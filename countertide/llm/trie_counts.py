@@ -10,7 +10,8 @@ Scores of pieces follow from their ranks by Zipf's law: log(1 / (rank + 3)), nor
 count as many tokens as UTF-8 bytes, at a score well below the worst piece. Equal scores: fewer tokens.
 
 Defined results: null and empty texts have no tokens; pre-tokens longer than ``LEVELS`` letters take the same steps one by
-one outside the trie; repeated rows are counted each; an empty table gives an empty result.
+one outside the trie; a very long text is counted whole, in a slice of its own; repeated rows are counted each; columns named
+n_pre_tokens or n_tokens are replaced, all others but the text kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations

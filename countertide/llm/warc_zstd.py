@@ -9,7 +9,8 @@ Which record holds a payload is found from digests alone: the largest page_id of
 that is combined before its shuffle; payloads are not shuffled unless there are too many repeated digests to broadcast.
 
 Defined results: a null page is an empty payload; a null url becomes the record's own name as target; a null page_id is
-never the response among copies with ids; repeated rows of the largest id are all responses; an empty table gives no
+never the response among copies with ids; repeated rows of the largest id are all responses; a very long payload is held by one
+task several times (as text, record and frame); columns besides page_id, url and html are not archived; an empty table gives no
 archive and an empty result.
 """
 
