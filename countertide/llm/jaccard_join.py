@@ -25,8 +25,10 @@ pairs whose strings differ more than a link allows are dropped without loss. Ver
 whole sets.
 
 Defined results: null or empty texts have no shingles and no links, and are a component each; rows of one doc_id count as
-one document, which joins what any of them links to; an empty table gives an empty result; null ids are kept with a null
-component unless they are linked.
+one document, which joins what any of them links to; an empty table gives an empty result; rows without id are documents of
+their own, whose component is the least id that they are linked with, else null. Where ids are missing or repeated, rows
+are numbered in a written table and joined by these numbers. Very long texts are cut into shingles whole, one at a time.
+Ties between equal sets are settled by the least id. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -49,6 +51,8 @@ from countertide.plans.shared import freeze
 #: A shingle is *frequent* from this share of all occurrences on: at most 2 ** 22 shingles can be, whatever the corpus.
 FREQUENT = 2.0**-22
 COUNTED = 4 << 20  # occurrences that are counted together
+#: Pairs a member up to which no further turn of pivots is made: a turn shuffles each member several times.
+COMPARED = 16
 PLANNED = 64  # one shingle in so many tells the length of lists, for the boundary alone
 
 
@@ -279,8 +283,30 @@ def _enough(shared, n, m, rule: Similarity, boundary: int):
 
 def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
-    spark = docs.sparkSession
     source = docs.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
+    per_id = source.groupBy("_id").agg(F.count(F.lit(1)).alias("c"))
+    if not per_id.filter("c > 1 OR _id IS NULL").head(1):
+        return _joined(source, rule)
+    numbered = freeze(source.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = _joined(numbered.select(F.col("_row").alias("_id"), "_text"), rule)
+    rows = rows.withColumnRenamed("doc_id", "_row").join(numbered.select("_row", F.col("_id").alias("doc_id")), "_row")
+    return _by_id(freeze(rows.select("doc_id", "n_shingles", "component_id"), "joined_rows"))
+
+
+def _by_id(rows: DataFrame) -> DataFrame:
+    """Components of numbered rows as those of ids: rows of one id belong together, the least id names a component."""
+    ids = rows.filter("doc_id IS NOT NULL")
+    least = ids.groupBy("doc_id").agg(F.min("component_id").alias("b"))
+    ties = ids.join(least, "doc_id").select(F.col("component_id").alias("a"), "b").filter("a != b").distinct()
+    labels = components(ties).select(F.col("node").alias("component_id"), F.col("component").alias("_to"))
+    told = rows.join(labels, "component_id", "left").select("doc_id", "n_shingles", F.coalesce("_to", "component_id").alias("_component"))
+    names = told.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
+    return told.join(names, "_component").select("doc_id", "n_shingles", "component_id")
+
+
+def _joined(source: DataFrame, rule: Similarity) -> DataFrame:
+    """The join of rows (_id, _text) whose ids are there and differ."""
+    spark = source.sparkSession
     read = freeze(source.mapInArrow(_extractor(rule), "kind tinyint, doc_id bigint, key binary, n bigint, bits binary"), "sets")
     sized_docs = read.filter("kind = 0").select("doc_id", "key", "n")
     bits = read.filter("kind = 0 AND n > 1").select("doc_id", "n", "bits")
@@ -309,24 +335,29 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
 
     links, tried, before, turn = None, None, None, 0
     while True:
-        per_list = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-        per_list = per_list.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"))
-        open_lists = freeze(per_list.filter("m * m > mm"), "open_lists")
-        pairs_left, members_left = open_lists.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
-        if pairs_left is None:
-            break
+        if turn == 0:  # every document is a component, so every key of several sets is an open list
+            pairs_left, last = float("inf"), False
+            if members.isEmpty():
+                break
+        else:
+            per_list = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+            per_list = per_list.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"))
+            open_lists = freeze(per_list.filter("m * m > mm"), "open_lists")
+            pairs_left, members_left = open_lists.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.sum("m")).first()
+            if pairs_left is None:
+                break
+            last = pairs_left <= COMPARED * members_left or pairs_left > 0.7 * before
+            members = members.join(open_lists.select("token"), "token")
         # Documents of different components share no closed list, so what they can share shrinks with the open ones.
-        members = members.join(open_lists.select("token"), "token")
         degrees = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
         members = members.join(degrees, "doc_id").withColumn("most", _most(F.col("n"), F.col("degree"), boundary))
         members = freeze(members, "open_members")
-        last = turn > 0 and (pairs_left <= 2 * members_left or pairs_left > 0.7 * before)
         if not last:
             pairs = _pivot_pairs(members, rule, boundary, turn)
         elif pairs_left <= 2 * members_left:
             pairs = _cross_pairs(members.withColumn("anchor", F.lit(None).cast("long")), rule, boundary)
         else:
-            deltas = _deltas(members, sized_docs, bits, source, rule)
+            deltas = _deltas(members, bits, source, rule)
             anchored = members.join(deltas.select("doc_id", "anchor"), "doc_id", "left")
             pairs = _cross_pairs(anchored, rule, boundary).unionAll(_delta_pairs(deltas, rule)).distinct()
         if tried is not None:
@@ -338,7 +369,7 @@ def join_classes(docs: DataFrame, rule: Similarity = Similarity(), text: str = "
             break
         tried = pairs if tried is None else tried.unionAll(pairs)
         labels = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "_to")
-        members = members.join(labels, "doc_id", "left").withColumn("component", F.coalesce("_to", "doc_id")).drop("_to")
+        members = members.join(sized(labels), "doc_id", "left").withColumn("component", F.coalesce("_to", "doc_id")).drop("_to")
         members = freeze(members.select("token", "doc_id", "n", "component"), "members")
         before, turn = pairs_left, turn + 1
     if links is None:
@@ -408,13 +439,9 @@ def _subtract(batches):
         yield pa.RecordBatch.from_arrays([*kept, pa.array(deltas, pa.list_(pa.int64()))], names=["doc_id", "anchor", "n", "component", "delta"])
 
 
-def _deltas(members: DataFrame, sized_docs: DataFrame, bits: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
+def _deltas(members: DataFrame, bits: DataFrame, source: DataFrame, rule: Similarity) -> DataFrame:
     """(doc_id, anchor, n, component, delta) of documents that are near their anchor."""
     pairs = _anchors(members).select(F.col("doc_id").alias("a"), F.col("anchor").alias("b"), "n", "component")
-    # Where the id or its anchor has several texts, there is no single difference: it stays with the lists.
-    several = freeze(sized_docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("doc_id"), "repeated_ids")
-    for x in ("a", "b"):
-        pairs = pairs.join(sized(several.withColumnRenamed("doc_id", x)), x, "left_anti")
     pairs = freeze(_sieved(pairs, bits, F.floor(F.col("n_a") / 2)), "near_anchors")
     both = _with_sets(pairs, source, rule, "n", "component")
     schema = "doc_id bigint, anchor bigint, n bigint, component bigint, delta array<bigint>"
@@ -462,12 +489,6 @@ def _delta_pairs(deltas: DataFrame, rule: Similarity) -> DataFrame:
 
 
 def _assembled(sized_docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    # Rows of one doc_id with different texts tie the classes of these texts together.
-    several = sized_docs.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 != k1")
-    several = freeze(several.select("doc_id"), "several")
-    if several.count():
-        ties = sized_docs.filter("n > 0").join(sized(several), "doc_id", "left_semi").join(classes, "key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-        links = links.unionAll(ties)
     labels = components(links)
     told = classes.join(labels, classes["rep"] == labels["node"], "left").filter("copies > 1 OR component IS NOT NULL")
     told = freeze(told.select(F.col("key").alias("_key"), F.coalesce("component", "rep").alias("_component")), "class_labels")

@@ -290,6 +290,26 @@ def test_jaccard_join_equals_brute_force(spark, given, k, percent):
     assert sorted(r.doc_id for r in kept) == sorted(i for i, (_, c) in want.items() if c == i)
 
 
+def test_repeated_and_missing_ids_link_by_any_of_their_texts(spark):
+    """Each row is a node of its own by brute force; rows of one id are tied, and the least id names a component."""
+    rng = np.random.default_rng(23)
+    near = lambda b: " ".join(f"b{b}w{i}" if i != at else f"x{rng.integers(0, 99)}" for at in [rng.integers(0, 60)] for i in range(60))
+    rows = [(5, near(1)), (5, near(2)), (9, near(2)), (9, near(3)), (3, near(3)), (None, near(4)), (None, near(4)), (8, near(4)), (None, near(5))]
+    copy = near(6)
+    rows += [(1, copy), (9, copy), (20, near(7)), (20, None), (None, ""), (21, near(7)), (None, near(5)), (20, near(7))]
+    want = brute_components([(n, t) for n, (_, t) in enumerate(rows)], 3, 80)
+    group = {n: want[n][1] for n in want}
+    for i in {i for i, _ in rows if i is not None}:
+        tied = {group[n] for n, r in enumerate(rows) if r[0] == i}
+        group = {n: min(tied) if c in tied else c for n, c in group.items()}
+    least = {c: min((r[0] for n, r in enumerate(rows) if group[n] == c and r[0] is not None), default=None) for c in group.values()}
+    expected = collections.Counter((r[0], want[n][0], least[group[n]]) for n, r in enumerate(rows))
+    assert (9, 58, 1) in expected and (None, 58, 8) in expected and (None, 58, None) in expected
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = jaccard_join.join_classes(frame, jaccard_join.Similarity(3, 80)).collect()
+    assert collections.Counter(map(tuple, got)) == expected
+
+
 def test_near_copies_that_stay_apart_meet_in_few_pairs(spark, monkeypatch):
     rng = np.random.default_rng(11)
     base, docs = [f"v{i}" for i in range(200)], []
