@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from countertide.catalog.registry import query
 from countertide.operators.history import endpoints
 from countertide.plans.shared import fresh_path
+from countertide.sources import landing, retention
 from countertide.streaming import jobs
 
 
@@ -29,6 +34,26 @@ def _(t):
     return t.spark.read.parquet(out).drop("date")
 
 
+@query("stream_late_snapshots", "SELECT * FROM stats")
+def _(t):
+    out = fresh_path(t.spark, "every_snapshot")
+    jobs.land_every_snapshot(_stream(t, copies=2), out, fresh_path(t.spark, "state")).awaitTermination()
+    return t.spark.read.parquet(out).drop("date", "batch")
+
+
+@query(
+    "retention_swept",
+    "SELECT * FROM stats WHERE CAST(time AS DATE) >= CAST((SELECT max(time) FROM stats) - INTERVAL 20 DAY AS DATE)",
+)
+def _(t):
+    path = fresh_path(t.spark, "retained")
+    landing.overwrite_dates(t.stats(), path)
+    asof = dt.datetime.fromisoformat(t.stats().agg(F.max("time").cast("string")).first()[0])
+    retention.withdraw(t.spark, path, asof, days=20)
+    retention.sweep(t.spark, path, asof + dt.timedelta(days=1))
+    return landing.read_table(t.spark, path).drop("date")
+
+
 @query("stream_upsert", "SELECT DISTINCT video_id FROM stats")
 def _(t):
     out = fresh_path(t.spark, "upsert")

@@ -45,13 +45,46 @@ def land_snapshots(
 ) -> StreamingQuery:
     """Append each (video_id, time) once, under one folder per date.
 
-    The state holds the keys of the last ``lateness`` only, and the file sink commits per batch.
+    The state holds the keys of the last ``lateness`` only, and the file sink commits per batch. Rows later than that are
+    dropped; :func:`land_every_snapshot` lands those too.
     """
     unique = stream.withWatermark("time", lateness).dropDuplicates(["video_id", "time"])
     writer = with_date(unique).writeStream.format("parquet").outputMode("append").partitionBy("date")
     return _started(writer.option("path", path), checkpoint, available_now)
 
 
+def land_every_snapshot(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append each (video_id, time) once, however late it comes, under one folder per date and batch.
+
+    There is no watermark and no state. A batch is compared with what earlier batches stored of the dates that it holds,
+    by the two key columns alone, so a row that is months late costs a look at its own date. Of rows with one key in a
+    batch the least stays. A batch that runs again overwrites its own folders and ignores those of later batches.
+    """
+    schema = stream.schema
+    known = StructType([schema["video_id"], schema["time"]]).add("date", "date").add(BATCH, "long")
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        days = [r[0] for r in batch.select(F.to_date("time")).distinct().collect()]  # no more than the calendar has
+        single = batch.groupBy("video_id", "time").agg(F.min(F.struct("*")).alias("_row")).select("_row.*")
+        if _exists(spark, path):
+            held = F.col("date").isin([d for d in days if d]) | (F.col("date").isNull() if None in days else F.lit(False))
+            stored = spark.read.schema(known).parquet(path).filter(held & (F.col(BATCH) < batch_id))
+            stored = stored.select(F.col("video_id").alias("_id"), F.col("time").alias("_time"))
+            same = F.col("video_id").eqNullSafe(F.col("_id")) & F.col("time").eqNullSafe(F.col("_time"))
+            single = single.join(stored, same, "left_anti")
+        fresh = with_date(single).withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", "date")
+        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("date", BATCH).parquet(path)
+
+    return _started(stream.writeStream.foreachBatch(insert), checkpoint, available_now)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def upsert_items(
     stream: DataFrame,
     path: str,

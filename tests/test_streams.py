@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from countertide.operators.history import endpoints
 from countertide.plans.shared import fresh_path
+from countertide.sources import landing, retention
 from countertide.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -46,6 +47,49 @@ def test_each_snapshot_lands_once(spark, landed):
     assert rows_of(stored, cols) == rows_of(landed[1], cols) and "date" in stored.columns
 
 
+def test_rows_land_once_however_late(spark):
+    path, out, state = (fresh_path(spark, f"t-{x}") for x in ("late-in", "late-out", "late-state"))
+    day = dt.timedelta(days=1)
+    batches = [
+        [("a", T0, 1, 1, 1), ("b", T0 + 100 * day, 2, 2, 2), ("b", T0 + 100 * day, 1, 9, 9)],
+        [("a", T0, 7, 7, 7), ("a", T0 + 10 * day, 3, 3, 3), (None, T0 + 10 * day, 4, 4, 4), ("c", None, 5, 5, 5)],
+        [("a", T0 + 10 * day, 8, 8, 8), (None, T0 + 10 * day, 4, 4, 4), ("c", None, 5, 5, 5), ("d", T0, 6, 6, 6)],
+    ]
+    for rows in batches:  # each run of the stream finds one new file
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        stream = jobs.snapshot_stream(spark, path, spark.createDataFrame([], SCHEMA).schema)
+        jobs.land_every_snapshot(stream, out, state).awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(out).select("video_id", "time", "views").collect()}
+    want = {("a", T0, 1), ("b", T0 + 100 * day, 1), ("a", T0 + 10 * day, 3), (None, T0 + 10 * day, 4), ("c", None, 5), ("d", T0, 6)}
+    assert got == want and spark.read.parquet(out).count() == len(want)
+    # Without the stream's memory all is one batch with the number 0: it overwrites its own folders, and is compared with none.
+    jobs.land_every_snapshot(stream, out, fresh_path(spark, "t-again")).awaitTermination()
+    first = spark.read.parquet(out).filter("batch = 0")
+    assert first.count() == first.select("video_id", "time").distinct().count() == len(want)
+
+
+def test_expired_dates_are_withdrawn_then_deleted(spark, tmp_path):
+    path, day = str(tmp_path / "series"), dt.timedelta(days=1)
+    rows = [(f"v{k % 3}", T0 + k * day / 2, k, k, k) for k in range(40)] + [("w", None, 0, 0, 0)]
+    landing.append_stats(spark.createDataFrame(rows, SCHEMA), path)
+    old = landing.read_table(spark, path)  # a reader that has listed its files
+    assert retention.sweep(spark, path, T0 + 99 * day) == [] and retention.read_kept(spark, path).count() == 41
+    asof = T0 + 15 * day + dt.timedelta(hours=5)
+    for _ in range(2):
+        assert retention.withdraw(spark, path, asof, days=5) == (T0 + 10 * day).date()
+    retention.withdraw(spark, path, asof + dt.timedelta(hours=1), days=9)  # a longer retention brings nothing back
+    kept = retention.read_kept(spark, path)
+    assert "PartitionFilters: [(isnull(date" in kept._jdf.queryExecution().toString()
+    assert kept.count() == 21 and kept.agg(F.min("time")).first()[0] == T0 + 10 * day
+    assert retention.sweep(spark, path, asof + dt.timedelta(hours=23)) == [] and old.count() == 41
+    assert retention.sweep(spark, path, asof + day) == [(T0 + k * day).date() for k in range(10)]
+    assert not [p for p in (tmp_path / "series").glob("date=2024-01-0*")] + [p for p in (tmp_path / "series").glob("date=2024-01-10")]
+    assert retention.sweep(spark, path, asof + day) == [] and landing.read_table(spark, path).count() == 21
+    landing.append_stats(spark.createDataFrame([("late", T0, 1, 1, 1)], SCHEMA), path)
+    assert retention.read_kept(spark, path).count() == 21 and retention.sweep(spark, path, asof + day) == [T0.date()]
+    assert retention.withdrawals(spark, str(tmp_path / "none")) == [] and retention.sweep(spark, str(tmp_path / "none"), asof) == []
+
+
 def test_first_write_wins_across_batches(spark, landed):
     out = fresh_path(spark, "t-out")
     stream = source(spark, landed)
