@@ -20,6 +20,8 @@ from countertide.sources.landing import with_date
 # The retention of the stored series: nothing that would be kept is ever too late to be landed.
 LATENESS = "60 days"
 BATCH = "batch"
+RUNS = "_runs"
+FAN = 8  # batches, or runs, that are merged into a longer run
 
 
 def snapshot_stream(
@@ -119,22 +121,100 @@ def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def track_endpoints(
-    stream: DataFrame, path: str, checkpoint: str, measures: Sequence[str] = COUNTERS, available_now: bool = True
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    measures: Sequence[str] = COUNTERS,
+    available_now: bool = True,
+    fan: int = FAN,
 ) -> StreamingQuery:
-    """First and last counters per item, kept as state of one row per item; changed rows per batch go to the sink."""
+    """First and last counters per item, kept as state of one row per item; changed rows per batch go to the sink.
+
+    Each ``fan`` batches are merged into a run that holds the newest row of an item, each ``fan`` runs into a longer one,
+    and so on; so a row is rewritten once a level, and readers need ``fan`` runs a level at most. Batches and runs never
+    change once they are written, and a repeated batch writes the same ones again.
+    """
     changed = endpoints(stream, measures=measures)
+    schema = changed.schema
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        span = fan
+        while (batch_id + 1) % span == 0:
+            first = batch_id + 1 - span
+            parts = _covering(_stored_runs(batch.sparkSession, path), first, batch_id, shorter_than=span)
+            newest = _newest(_read_runs(batch.sparkSession, path, schema, parts))
+            newest.write.mode("overwrite").parquet(f"{path}/{RUNS}/{first}-{batch_id}")
+            span *= fan
 
     return _started(changed.writeStream.outputMode("update").foreachBatch(store), checkpoint, available_now)
 
 
+def _stored_runs(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """(first, last batch) of all batches and of the runs whose write has ended."""
+    api = spark._jvm.org.apache.hadoop.fs
+    root = api.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def ended(folder: str) -> list[str]:
+        at = api.Path(folder)
+        names = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+        return [n for n in names if files.exists(api.Path(f"{folder}/{n}/_SUCCESS"))]
+
+    batches = [int(n.partition("=")[2]) for n in ended(path) if n.startswith(f"{BATCH}=")]
+    runs = [tuple(int(x) for x in n.split("-")) for n in ended(f"{path}/{RUNS}")]
+    return [(b, b) for b in batches] + runs
+
+
+def _covering(stored: list[tuple[int, int]], first: int = 0, last: int | None = None, shorter_than: int | None = None) -> list[tuple[int, int]]:
+    """The fewest batches and runs that hold all batches from ``first`` to ``last``: runs of ``fan`` powers nest, so the longest is taken."""
+    last = max((b for _, b in stored), default=-1) if last is None else last
+    fitting = [(a, b) for a, b in stored if b <= last and (shorter_than is None or b - a + 1 < shorter_than)]
+    longest: dict[int, int] = {}
+    for a, b in fitting:
+        longest[a] = max(b, longest.get(a, b))
+    out = []
+    while first <= last:
+        if first not in longest:
+            raise ValueError(f"batch {first} is not stored")
+        out.append((first, longest[first]))
+        first = longest[first] + 1
+    return out
+
+
+def _read_runs(spark: SparkSession, path: str, schema: StructType, parts: Sequence[tuple[int, int]]) -> DataFrame:
+    full = StructType([*schema.fields]).add(BATCH, "long")
+    out = spark.createDataFrame([], full)
+    single = [f"{path}/{BATCH}={a}" for a, b in parts if a == b]
+    merged = [f"{path}/{RUNS}/{a}-{b}" for a, b in parts if a < b]
+    if single:
+        out = out.unionByName(spark.read.schema(full).option("basePath", path).parquet(*single))
+    return out.unionByName(spark.read.schema(full).parquet(*merged)) if merged else out
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    return versions.groupBy("video_id").agg(F.max_by(F.struct("*"), BATCH).alias("_row")).select("_row.*")
+
+
 def current_endpoints(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The newest version of each item from the changes that :func:`track_endpoints` stored."""
-    versions = read_batches(spark, path, schema)
-    newest = F.max_by(F.struct(*schema.names), BATCH)
-    return versions.groupBy("video_id").agg(newest.alias("_row")).select("_row.*")
+    """The newest version of each item from the runs that :func:`track_endpoints` stored."""
+    return _newest(_read_runs(spark, path, schema, _covering(_stored_runs(spark, path)))).select(*schema.names)
+
+
+def drop_merged(spark: SparkSession, path: str, before: int) -> int:
+    """Delete batches and runs that lie in a longer run of batches below ``before``; returns how many.
+
+    Readers list what they read when they start, so ``before`` should be a batch that was stored before the oldest
+    running reader began, and never one that the stream may still repeat. Ended writes are told by their ``_SUCCESS`` file.
+    """
+    stored = _stored_runs(spark, path)
+    api = spark._jvm.org.apache.hadoop.fs
+    files = api.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    needed = set(_covering([(a, b) for a, b in stored if b < before], last=None)) if stored else set()
+    gone = [(a, b) for a, b in stored if b < before and (a, b) not in needed]
+    for a, b in gone:
+        files.delete(api.Path(f"{path}/{BATCH}={a}" if a == b else f"{path}/{RUNS}/{a}-{b}"), True)
+    return len(gone)
 
 
 def daily_summary(

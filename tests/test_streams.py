@@ -112,6 +112,27 @@ def test_running_endpoints(spark, landed):
     assert rows_of(got, want.columns) == rows_of(want, want.columns)
 
 
+def test_endpoint_versions_are_merged(spark):
+    path, out, state = (fresh_path(spark, f"t-{x}") for x in ("ends-in", "ends-out", "ends-state"))
+    rows = [(f"v{k % 4}", T0 + dt.timedelta(hours=k), k, k, k) for k in range(30)]
+    for part in range(10):
+        spark.createDataFrame(rows[part * 3 : part * 3 + 3], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.snapshot_stream(spark, path, spark.createDataFrame([], SCHEMA).schema, files_per_trigger=1)
+    jobs.track_endpoints(stream, out, state, fan=3).awaitTermination()
+    want = endpoints(spark.createDataFrame(rows, SCHEMA))
+    stored = jobs._stored_runs(spark, out)
+    assert {(a, b) for a, b in stored if a < b} == {(0, 2), (3, 5), (6, 8), (0, 8)}
+    assert jobs._covering(stored) == [(0, 8), (9, 9)]
+    assert rows_of(jobs.current_endpoints(spark, out, want.schema), want.columns) == rows_of(want, want.columns)
+    assert jobs.drop_merged(spark, out, before=6) == 6  # what lies in 0-2 and 3-5
+    assert rows_of(jobs.current_endpoints(spark, out, want.schema), want.columns) == rows_of(want, want.columns)
+    assert jobs.drop_merged(spark, out, before=10) == 6 and jobs.drop_merged(spark, out, before=10) == 0
+    assert sorted(jobs._stored_runs(spark, out)) == [(0, 8), (9, 9)]
+    assert rows_of(jobs.current_endpoints(spark, out, want.schema), want.columns) == rows_of(want, want.columns)
+    with pytest.raises(ValueError, match="batch 1 is not stored"):
+        jobs._covering([(0, 0), (2, 2)])
+
+
 def test_daily_summary(spark, landed):
     path = fresh_path(spark, "t-whole")
     landed[1].coalesce(1).write.parquet(path)
